@@ -44,7 +44,7 @@ def parse_date(c: ColumnOrName, fmt: str | None = None) -> Column:
     col = _c(c)
     if fmt is None:
         return F.try_to_date(col.cast("string"))
-    return F.try_to_date(col.cast("string"), F.lit(fmt))
+    return F.try_to_date(col.cast("string"), fmt)
 
 
 def date_key(primary: ColumnOrName, fallback: ColumnOrName) -> Column:

@@ -37,7 +37,9 @@ from ledgerlake.operators.projections import union_all_by_name
 from ledgerlake.operators.quality import duplicate_keys, missing_data_flags, null_counts, validate
 from ledgerlake.operators.reshape import drop_sparse, pivot_wide
 from ledgerlake.operators.tags import keep_canonical, map_tags
+from ledgerlake import fixed
 from ledgerlake.plans.dims import price_profile
+from ledgerlake.plans.filings import build_filings_fact
 from ledgerlake.sources.calendar import calendar_for
 from ledgerlake.sources.filings_json import explode_parallel
 
@@ -572,6 +574,168 @@ FROM events
 """
 
 
+
+# -- PIP1: the whole fact build ------------------------------------------------
+# Role mapping: a customer is a company ("C<custkey>"), an order is a filing
+# ("A-<orderkey>"), each line item reports two raw tags chosen by its line
+# number; the period is the order quarter (Q4 reported as FY; status 'P' has
+# no period); the period end is the last day of the previous quarter.  Prices
+# are the daily max extended price of a customer's shipped lines.
+# Transcripts are documents assigned to a customer, quarter and year.
+LINE_TAGS_PRICE = [
+    "AssetsCurrent", "Liabilities", "ProfitLoss", "Revenues", "GrossProfit",
+    "NetCashProvidedByUsedInOperatingActivities", "CommonStockSharesOutstanding",
+]
+LINE_TAGS_QUANTITY = [
+    "CashAndCashEquivalentsAtCarryingValue", "BasicEarningsLossPerShare", "StockholdersEquity",
+    "SalesRevenueNet", "EBITDA", "AssetsNoncurrent", "DeferredRevenue",
+]
+
+
+def _filings_inputs(spark, sf):
+    orders = _t(spark, sf, "orders")
+    lo = _t(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    ticker = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
+    q = F.quarter("o_orderdate")
+    fp = (
+        F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
+        .when(q == 4, F.lit("FY"))
+        .otherwise(F.concat(F.lit("Q"), q.cast("string")))
+    )
+    end = F.date_sub(F.trunc("o_orderdate", "quarter"), 1)
+    pairs = F.array(
+        F.struct(F.element_at(F.array(*map(F.lit, LINE_TAGS_PRICE)), F.col("l_linenumber")).alias("finType"), F.col("l_extendedprice").alias("val")),
+        F.struct(F.element_at(F.array(*map(F.lit, LINE_TAGS_QUANTITY)), F.col("l_linenumber")).alias("finType"), F.col("l_quantity").alias("val")),
+    )
+    facts_long = lo.select(
+        ticker.alias("ticker"),
+        F.concat(F.lit("A-"), F.col("o_orderkey").cast("string")).alias("accn"),
+        fp.alias("fp"),
+        _ds("o_orderdate").alias("filed"),
+        _ds(end).alias("end"),
+        F.lit(None).cast("string").alias("start"),
+        F.lit(None).cast("string").alias("frame"),
+        F.inline(pairs),
+    ).withColumn("yearMonthDay", date_key("end", "start"))
+    accession = F.concat(F.lit("A-"), F.col("o_orderkey").cast("string"))
+    filings = orders.select(
+        accession.alias("accessionNumber"),
+        _ds("o_orderdate").alias("filingDate"),
+        _ds("o_orderdate").alias("reportDate"),
+        F.col("o_orderpriority").alias("form"),
+        F.col("o_orderstatus").alias("primaryDocDescription"),
+        filing_url(pad_cik("o_custkey"), accession, F.concat(F.col("o_orderkey").cast("string"), F.lit(".htm"))).alias("fileURL"),
+    )
+    prices = lo.groupBy(ticker.alias("ticker"), F.to_date("l_shipdate").alias("Date")).agg(F.max("l_extendedprice").alias("Close"))
+    docs = _t(spark, sf, "documents")
+    transcripts = docs.select(
+        F.concat(F.lit("C"), F.col("doc_id").cast("string")).alias("ticker"),
+        (F.col("doc_id") % 4 + 1).alias("quarter"),
+        (F.col("doc_id") % 7 + 1995).alias("year"),
+        F.col("text").alias("transcript"),
+    )
+    return facts_long, filings, prices, transcripts
+
+
+def q_filings_fact(spark, sf):
+    fact = build_filings_fact(*_filings_inputs(spark, sf))
+    return fact.withColumns({c: _ds(c) for c in ("reportDate", "filingDate", "endDate")}).withColumn(
+        "stockPriceChange", F.col("stockPriceChange").cast("bigint")
+    )
+
+
+def _sql_filings_fact() -> str:
+    pairs = ", ".join(f"('{child}', '{parent}')" for parent, kids in fixed.TAG_HIERARCHY.items() for child in kids)
+    metrics = list(fixed.TAG_HIERARCHY)
+    canon = ", ".join(f"'{m}'" for m in metrics)
+    pivots = ",\n         ".join(f"max(CASE WHEN fin = '{m}' THEN val END) AS {m}" for m in metrics)
+    nulls = " + ".join(f"CAST({m} IS NULL AS INT)" for m in fixed.COUNTED_METRICS)
+    flows = fixed.FLOW_METRICS
+    leads = ", ".join(f"lead({m}) OVER w AS n_{m}" for m in flows)
+    cond = "has_next AND financialPeriod IN ('Q2','Q3','FY') AND n_fp IN ('Q1','Q2','Q3')"
+    normed = ",\n         ".join(
+        f"CASE WHEN {cond} AND {m} IS NOT NULL AND n_{m} IS NOT NULL THEN {m} - n_{m} ELSE {m} END AS {m}" for m in flows
+    )
+    stock = [m for m in metrics if m not in flows]
+    tags_a = ", ".join(f"'{t}'" for t in LINE_TAGS_PRICE)
+    tags_b = ", ".join(f"'{t}'" for t in LINE_TAGS_QUANTITY)
+    out_metrics = [m for m in fixed.FACT_COLUMNS if m in metrics]
+    return f"""
+WITH lo AS (SELECT l.*, o.o_custkey, o.o_orderdate, o.o_orderstatus FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+base AS (
+  SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker, 'A-' || CAST(l_orderkey AS VARCHAR) AS accn,
+         CASE WHEN o_orderstatus = 'P' THEN NULL WHEN quarter(o_orderdate) = 4 THEN 'FY' ELSE 'Q' || quarter(o_orderdate) END AS fp,
+         CAST(o_orderdate AS DATE) AS filed,
+         CAST(CAST(date_trunc('quarter', o_orderdate) AS DATE) - INTERVAL 1 DAY AS DATE) AS end_date,
+         l_linenumber, l_extendedprice, l_quantity
+  FROM lo),
+facts AS (
+  SELECT ticker, accn, fp, filed, end_date, [{tags_a}][l_linenumber] AS tag, l_extendedprice AS val FROM base
+  UNION ALL
+  SELECT ticker, accn, fp, filed, end_date, [{tags_b}][l_linenumber] AS tag, l_quantity AS val FROM base),
+m AS (SELECT * FROM (VALUES {pairs}) t(child, parent)),
+canon AS (
+  SELECT f.*, coalesce(m.parent, f.tag) AS fin FROM facts f LEFT JOIN m ON f.tag = m.child
+  WHERE coalesce(m.parent, f.tag) IN ({canon})),
+pv AS (
+  SELECT ticker, accn AS accessionNumber, coalesce(fp, 'NotAvailable') AS financialPeriod, filed AS filingDate, end_date AS endDate,
+         {pivots}
+  FROM canon GROUP BY 1, 2, 3, 4, 5),
+sparse AS (SELECT * FROM pv WHERE {nulls} < 4),
+filings AS (
+  SELECT 'A-' || CAST(o_orderkey AS VARCHAR) AS accessionNumber, CAST(o_orderdate AS DATE) AS reportDate,
+         o_orderpriority AS form, CAST(o_orderdate AS DATE) AS filingDate,
+         o_orderstatus AS primaryDocDescription,
+         '{fixed.FILING_URL_BASE}' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') || '/A' || CAST(o_orderkey AS VARCHAR)
+           || '/' || CAST(o_orderkey AS VARCHAR) || '.htm' AS fileURL
+  FROM orders),
+joined AS (
+  SELECT f.accessionNumber, f.reportDate, f.form, f.filingDate, f.primaryDocDescription, f.fileURL,
+         p.ticker, p.financialPeriod, p.endDate, {", ".join("p." + m for m in metrics)}
+  FROM filings f JOIN sparse p ON f.accessionNumber = p.accessionNumber AND f.filingDate = p.filingDate
+  WHERE year(p.endDate) = year(f.reportDate)),
+nx AS (
+  SELECT *, lead(financialPeriod) OVER w AS n_fp, {leads}, lead(1) OVER w IS NOT NULL AS has_next
+  FROM joined
+  WINDOW w AS (PARTITION BY ticker ORDER BY filingDate DESC, accessionNumber DESC, financialPeriod ASC, filingDate ASC, endDate ASC)),
+norm AS (
+  SELECT accessionNumber, ticker, reportDate, filingDate, endDate, form,
+         CASE WHEN financialPeriod = 'FY' THEN 'Q4' ELSE financialPeriod END AS financialPeriod,
+         {", ".join(stock)},
+         {normed},
+         fileURL
+  FROM nx),
+prices AS (SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker, CAST(l_shipdate AS DATE) AS d, max(l_extendedprice) AS c FROM lo GROUP BY 1, 2),
+win AS (SELECT DISTINCT ticker, reportDate FROM norm),
+cl AS (
+  SELECT w.ticker, w.reportDate, (arg_min(p.c, p.d) - arg_max(p.c, p.d)) * 100 / arg_max(p.c, p.d) AS pct
+  FROM win w JOIN prices p ON p.ticker = w.ticker AND p.d >= CAST(w.reportDate - INTERVAL 3 MONTH AS DATE) AND p.d < w.reportDate
+  GROUP BY 1, 2),
+cls AS (
+  SELECT ticker, reportDate,
+         CAST(CASE WHEN pct IS NULL OR isnan(pct) THEN NULL
+              WHEN pct < -5 THEN 1 WHEN pct < -2 THEN 2 WHEN pct < 0 THEN 3 WHEN pct = 0 THEN 4
+              WHEN pct <= 2 THEN 5 WHEN pct <= 5 THEN 6 ELSE 7 END AS BIGINT) AS stockPriceChange
+  FROM cl),
+fact AS (
+  SELECT n.*, c.stockPriceChange, n.ticker || n.financialPeriod || strftime(n.reportDate, '%Y') AS transcriptID
+  FROM norm n LEFT JOIN cls c ON n.ticker = c.ticker AND n.reportDate = c.reportDate),
+tr AS (
+  SELECT 'C' || CAST(doc_id AS VARCHAR) || 'Q' || CAST(doc_id % 4 + 1 AS VARCHAR) || CAST(doc_id % 7 + 1995 AS VARCHAR) AS transcriptID,
+         {_sql_text_measures('text', fixed.POSITIVE_WORDS, fixed.NEGATIVE_WORDS)},
+         CASE WHEN text IS NULL OR length({_SQL_CLEAN}) = 0 THEN 0.0 END AS SentimentScore
+  FROM documents)
+SELECT f.accessionNumber, f.ticker, strftime(f.reportDate, '%Y-%m-%d') AS reportDate,
+       strftime(f.filingDate, '%Y-%m-%d') AS filingDate, strftime(f.endDate, '%Y-%m-%d') AS endDate,
+       f.form, f.financialPeriod, f.stockPriceChange, {", ".join("f." + m for m in out_metrics)}, f.fileURL,
+       f.transcriptID, tr.TransLength, tr.TotalTokens, tr.PositiveWordCount, tr.NegativeWordCount, tr.SentimentScore
+FROM fact f LEFT JOIN tr ON f.transcriptID IS NOT DISTINCT FROM tr.transcriptID
+"""
+
+
+SQL_FILINGS_FACT = _sql_filings_fact()
+
+
 CATALOG: dict[str, tuple[Query, str | None]] = {
     "tag_rollup": (q_tag_rollup, SQL_TAG_ROLLUP),
     "canonical_tags": (q_canonical_tags, SQL_CANONICAL_TAGS),
@@ -599,4 +763,5 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "softmax_diff": (q_softmax_diff, SQL_SOFTMAX_DIFF),
     "union_all": (q_union_all, SQL_UNION_ALL),
     "date_key": (q_date_key, SQL_DATE_KEY),
+    "filings_fact": (q_filings_fact, SQL_FILINGS_FACT),
 }
