@@ -19,14 +19,16 @@ from pyspark.sql import functions as F
 from ledgerlake import fixed
 from ledgerlake.functions.scalars import ColumnOrName, _c
 
-# Unicode white space plus the four separators Python's str.strip() also removes.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters Python's str.strip() removes: every code point whose
+# str.isspace() is true (all of them lie below U+3001).
+EDGE_SPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 _WORD = r"(?U)\w+"
 
 
 def clean_text(c: ColumnOrName) -> Column:
-    """Lower-case, then strip white space at both ends."""
-    return F.regexp_replace(F.lower(_c(c)), _EDGE_SPACE, "")
+    """Lower-case, then strip white space at both ends (a character-set trim,
+    no regular expression)."""
+    return F.trim(F.lower(_c(c)), F.lit(EDGE_SPACE))
 
 
 def _word_list_pattern(words: Sequence[str]) -> str:
@@ -43,6 +45,10 @@ def text_measures(
     Null, empty and blank texts give zeros."""
     clean = clean_text(c)
     blank = clean.isNull() | (F.length(clean) == 0)
+    pos, neg = [w.lower() for w in positive], [w.lower() for w in negative]
+    # One scan finds every occurrence of a listed word; the two counts are
+    # taken from that (short) array.
+    hits = F.regexp_extract_all(clean, F.lit(_word_list_pattern(dict.fromkeys(pos + neg))), 0)
 
     def guard(expr: Column) -> Column:
         return F.when(blank, F.lit(0)).otherwise(expr).cast("bigint")
@@ -50,8 +56,8 @@ def text_measures(
     return {
         "TransLength": guard(F.length(clean)),
         "TotalTokens": guard(F.regexp_count(clean, F.lit(_WORD))),
-        "PositiveWordCount": guard(F.regexp_count(clean, F.lit(_word_list_pattern(positive)))),
-        "NegativeWordCount": guard(F.regexp_count(clean, F.lit(_word_list_pattern(negative)))),
+        "PositiveWordCount": guard(F.size(F.filter(hits, lambda x: x.isin(pos)))),
+        "NegativeWordCount": guard(F.size(F.filter(hits, lambda x: x.isin(neg)))),
     }
 
 

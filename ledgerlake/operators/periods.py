@@ -52,25 +52,30 @@ def next_values(
             {**{prefix + c: F.lead(c).over(w) for c in cols}, has_next_col: F.lead(F.lit(True)).over(w).isNotNull()}
         )
 
-    part_b = [*partition_cols, "_bucket"]
-    d = df.withColumn("_bucket", bucket)
-    w = Window.partitionBy(*part_b).orderBy(*order)
+    # Struct keys: a struct is never null and compares null fields as equal,
+    # so a plain equi-join on them keeps null partition values together and
+    # reuses the window's hash partitioning (no second shuffle of the rows).
+    keys = ["_p", "_bucket"]
+    d = df.withColumns({"_p": F.struct(*partition_cols), "_bucket": F.struct(bucket.alias("b"))})
+    w = Window.partitionBy(*keys).orderBy(*order)
     d = d.withColumns(
         {
-            "_rn": F.row_number().over(w),
+            # lag-based flag rather than row_number() == 1: a rank filter would be
+            # rewritten into a group limit and stop the two branches sharing the shuffle.
+            "_first": F.lag(F.lit(True)).over(w).isNull(),
             "_in_bucket_next": F.lead(F.lit(True)).over(w).isNotNull(),
             **{f"_lead_{c}": F.lead(c).over(w) for c in cols},
         }
     )
-    heads = d.filter(F.col("_rn") == 1).select(*part_b, *[F.col(c).alias(f"_head_{c}") for c in cols])
+    heads = d.filter(F.col("_first")).select(*keys, *[F.col(c).alias(f"_head_{c}") for c in cols])
     bo = F.col("_bucket").asc() if bucket_ascending else F.col("_bucket").desc()
-    wb = Window.partitionBy(*partition_cols).orderBy(bo)
+    wb = Window.partitionBy("_p").orderBy(bo)
     next_heads = heads.select(
-        *part_b,
+        *keys,
         F.lead(F.lit(True)).over(wb).isNotNull().alias("_next_bucket"),
         *[F.lead(f"_head_{c}").over(wb).alias(f"_nh_{c}") for c in cols],
     )
-    joined = null_safe_join(d, next_heads, part_b, "left")
+    joined = d.join(next_heads, keys, "left")
     inside = F.col("_in_bucket_next")
     out = joined.withColumns(
         {
@@ -78,7 +83,7 @@ def next_values(
             has_next_col: inside | F.coalesce(F.col("_next_bucket"), F.lit(False)),
         }
     )
-    drop = ["_bucket", "_rn", "_in_bucket_next", "_next_bucket"]
+    drop = [*keys, "_first", "_in_bucket_next", "_next_bucket"]
     drop += [f"_lead_{c}" for c in cols] + [f"_nh_{c}" for c in cols]
     return out.drop(*drop)
 

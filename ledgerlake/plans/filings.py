@@ -71,13 +71,19 @@ def build_filings_fact(
         *(["filing_pos"] if "filing_pos" in filings.columns else []),
     )
     joined = merge_filings(pivot, filings)
+    # The class depends only on (ticker, reportDate), which the normalisation
+    # does not change; classing first lets the price-window branch share the
+    # pivot's shuffle instead of recomputing the normalisation window.
+    classed = add_price_change_class(
+        joined, prices, "ticker", "reportDate", *price_cols, orientation=orientation
+    )
     bucket_ascending = True
     if bucket is None and "filing_pos" in filings.columns:
         bucket = F.floor(F.col("filing_pos") / 256)
     elif bucket is None:
         bucket, bucket_ascending = F.year("filingDate"), False
-    normalized = decumulate(joined, bucket=bucket, bucket_ascending=bucket_ascending)
-    fact = add_stock_price_dim(normalized, prices, *price_cols, orientation=orientation)
+    normalized = decumulate(classed, bucket=bucket, bucket_ascending=bucket_ascending)
+    fact = normalized.select(*fixed.FACT_COLUMNS)
     fact = fact.withColumn("transcriptID", fact_transcript_key("ticker", "financialPeriod", report_year("reportDate")))
     if transcripts is None:
         return fact.withColumns({m: F.lit(None).cast("double" if m == "SentimentScore" else "bigint") for m in fixed.TRANSCRIPT_MEASURES})
