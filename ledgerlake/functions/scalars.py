@@ -148,17 +148,15 @@ def fill_period(c: ColumnOrName) -> Column:
 # AGG4 / FLT5 -----------------------------------------------------------------
 def null_count(cols: list[str]) -> Column:
     """Number of nulls across ``cols`` in one row (no shuffle)."""
-    total = F.lit(0)
-    for name in cols:
-        total = total + F.col(name).isNull().cast("int")
-    return total
+    if not cols:
+        return F.lit(0)
+    return F.expr(" + ".join(f"CAST(`{n.replace('`', '``')}` IS NULL AS INT)" for n in cols))
 
 
 def any_null(cols: list[str]) -> Column:
-    cond = F.lit(False)
-    for name in cols:
-        cond = cond | F.col(name).isNull()
-    return cond
+    if not cols:
+        return F.lit(False)
+    return F.expr(" OR ".join(f"`{n.replace('`', '``')}` IS NULL" for n in cols))
 
 
 # PRJ4 ------------------------------------------------------------------------

@@ -32,8 +32,12 @@ def clean_text(c: ColumnOrName) -> Column:
 
 
 def _word_list_pattern(words: Sequence[str]) -> str:
-    alternatives = "|".join(r"\Q" + w.lower() + r"\E" for w in words)
-    return r"(?U)(?<!\w)(?:" + alternatives + r")(?!\w)"
+    """A listed word as a whole token.  The leading look-ahead on the words'
+    first letters rejects most positions before the costlier look-behind."""
+    words = [w.lower() for w in words if w]
+    firsts = "".join(sorted({"\\" + w[0] if w[0] in "\\[]^-&" else w[0] for w in words}))
+    alternatives = "|".join(r"\Q" + w + r"\E" for w in words)
+    return r"(?U)(?=[" + firsts + r"])(?<!\w)(?:" + alternatives + r")(?!\w)"
 
 
 def text_measures(

@@ -145,13 +145,20 @@ def period_means(
     """AGG2: mean of ``value_col`` per key and calendar quarter and per key and
     calendar month, attached to every row.  Nulls are skipped.
 
-    ``decimal_scale`` sums in DECIMAL(18, scale): exact and independent of how
-    rows are split across tasks, for values with at most that many decimals.
+    ``decimal_scale`` sums exactly in fixed point: each value is scaled by
+    10**scale, rounded to a BIGINT and summed as an integer, so the mean is
+    independent of how rows are split across tasks (for values with at most
+    that many decimals).  It equals a DECIMAL(18, scale) sum but stays on
+    primitive longs instead of arbitrary-precision decimals.
     """
     d = F.to_date(F.col(date_col))
     base = df.withColumns({"_y": F.year(d), "_m": F.month(d)})
     v = F.col(value_col)
-    total = F.sum(v.cast(f"decimal(18,{decimal_scale})")) if decimal_scale is not None else F.sum(v.cast("double"))
+    if decimal_scale is not None:
+        unit = float(10**decimal_scale)
+        total = F.sum(F.round(v.cast("double") * unit).cast("bigint"))
+    else:
+        unit, total = 1.0, F.sum(v.cast("double"))
     monthly = (
         base.groupBy(*key_cols, "_y", "_m")
         .agg(total.alias("_s"), F.count(v).alias("_n"))
@@ -160,7 +167,7 @@ def period_means(
     wq = Window.partitionBy(*key_cols, "_y", "_q")
 
     def mean(s: Column, n: Column) -> Column:
-        return F.when(n > 0, s.cast("double") / n)
+        return F.when(n > 0, s.cast("double") / unit / n)
 
     stats = monthly.select(
         *key_cols,

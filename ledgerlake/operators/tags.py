@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,15 +23,23 @@ def child_to_parent(hierarchy: Mapping[str, Sequence[str]]) -> dict[str, str]:
 def roll_up_tag(c: Column | str, hierarchy: Mapping[str, Sequence[str]] = fixed.TAG_HIERARCHY) -> Column:
     """SCL4 as an expression: child tag -> parent; unknown tags pass through.
 
-    The dictionary is a literal map inside the plan (tens of entries), so the
-    lookup is a codegen'd hash probe with no join and no shuffle.
+    The dictionary is a literal map inside the plan (tens of entries): the
+    lookup is evaluated per row inside whole-stage codegen, with no join and
+    no shuffle.  A dictionary of thousands of entries belongs in a table
+    joined on the tag instead.
     """
     col = F.col(c) if isinstance(c, str) else c
     mapping = child_to_parent(hierarchy)
-    lookup = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items()))
+    # One SQL literal instead of one JVM call per entry.
+    entries = ", ".join(f"{_sql_str(k)}, {_sql_str(v)}" for k, v in mapping.items())
+    lookup = F.expr(f"map({entries})")
     return F.coalesce(F.try_element_at(lookup, col), col)
 
 
+def _sql_str(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def map_tags(
     df: DataFrame,
     tag_col: str = "finType",
