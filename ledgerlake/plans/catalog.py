@@ -51,8 +51,9 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _ds(c) -> F.Column:
-    """Date text for output columns."""
-    return F.date_format(F.to_date(c if not isinstance(c, str) else F.col(c)), "yyyy-MM-dd")
+    """Date text (ISO ``yyyy-MM-dd``) for output columns; a plain cast, which
+    avoids a pattern formatter per row."""
+    return F.to_date(c if not isinstance(c, str) else F.col(c)).cast("string")
 
 
 # Role mapping of event types to a two-parent tag hierarchy (SCL4 / FLT2).

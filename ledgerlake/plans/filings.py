@@ -1,10 +1,11 @@
 """The filings fact build (PIP1) and its parts (PIP2, PIP3).
 
-``build_filings_fact`` is one lazy plan: tag roll-up -> canonical filter ->
-pivot -> filings join -> quarter normalisation -> price class -> transcript
-measures.  Shuffles: the pivot aggregate, the filings join, the
+``build_filings_fact`` chains tag roll-up -> canonical filter -> pivot ->
+filings join | written once | price class -> quarter normalisation ->
+transcript measures.  The filing-level table is written once to the shared
+checkpoint folder because three branches read it.  Shuffles: the pivot aggregate, the filings join, the
 normalisation window, the price range join and its aggregate, the transcript
-join.  ``run_filings_job`` cuts the lineage once (reliable checkpoint) and
+join.  ``run_filings_job`` cuts the lineage once (a table in the shared folder) and
 then runs validation and the two writes from that table, so the three
 actions never recompute the plan.
 """
@@ -50,6 +51,7 @@ def build_filings_fact(
     price_cols: tuple[str, str, str] = ("ticker", "Date", "Close"),
     bucket: Column | None = None,
     orientation: str = "reference",
+    cut_lineage: bool = True,
 ) -> DataFrame:
     """PIP1: the 25-column fact table.
 
@@ -59,6 +61,11 @@ def build_filings_fact(
     ``bucket``: split of a ticker for the normalisation window (see
     ``periods.next_values``); by default the filing list position in blocks
     of 256, or the filing year when there is no list position.
+    ``cut_lineage``: write the filing-level table once (pivot joined to the
+    filings) into the shared checkpoint folder.  Three later branches read it
+    (price windows, the normalisation window, its bucket heads); without the
+    cut each would recompute the pivot over the raw facts, since differently
+    pruned branches do not share shuffles.
     """
     pivot = prepare_facts(facts_long)
     filings = filings.select(
@@ -71,6 +78,8 @@ def build_filings_fact(
         *(["filing_pos"] if "filing_pos" in filings.columns else []),
     )
     joined = merge_filings(pivot, filings)
+    if cut_lineage:
+        joined = materialize(joined, "filings_level")
     # The class depends only on (ticker, reportDate), which the normalisation
     # does not change; classing first lets the price-window branch share the
     # pivot's shuffle instead of recomputing the normalisation window.
@@ -93,7 +102,7 @@ def build_filings_fact(
 def run_filings_job(fact: DataFrame, fact_path: str, validation_path: str, validation_mode: str = "overwrite") -> DataFrame:
     """Validate -> store validation table -> write fact (the original order:
     a failed validation blocks both writes).  Returns the rule report."""
-    table = materialize(fact)
+    table = materialize(fact, "fact")
     report = validate(table)
     raise_if_failed(report)
     write_validation_table(missing_data_flags(table), validation_path, validation_mode)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,7 +62,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage: write ``df`` once as a Parquet table in the shared
+    checkpoint folder and return a reader of it.
+
+    One job computes and writes the rows (an RDD checkpoint of an unpersisted
+    plan would compute it twice); later branches read the files, with column
+    pruning and filter pushdown, and a lost executor re-reads them instead of
+    recomputing the plan above.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "ledgerlake", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
