@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import fixed
 from ledgerlake.functions.classify import change_class, percent_change
+from ledgerlake.functions.scalars import minus_months
 from ledgerlake.operators.joins import null_safe_join
 
 
@@ -44,7 +45,7 @@ def window_closes(
         windows.select(F.col(ticker_col).alias("_t"), F.to_date(F.col(report_col)).alias("_rd"))
         .dropna()
         .distinct()
-        .withColumn("_start", F.add_months(F.col("_rd"), -months))
+        .withColumn("_start", minus_months("_rd", months))
         .withColumn(
             "_mb",
             F.explode(

@@ -40,7 +40,9 @@ from ledgerlake.operators.tags import keep_canonical, map_tags
 from ledgerlake import fixed
 from ledgerlake.plans.dims import price_profile
 from ledgerlake.plans.filings import build_filings_fact
+from ledgerlake.operators.projections import keep_members
 from ledgerlake.sources.calendar import calendar_for
+from ledgerlake.sources.files import harvest_transcripts, lookup_cik
 from ledgerlake.sources.filings_json import explode_parallel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -576,6 +578,76 @@ FROM events
 
 
 
+# -- FLT1: allow-list as a semi-join against a derived member table ------------
+def q_member_filter(spark, sf):
+    orders = _t(spark, sf, "orders")
+    members = _t(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    kept = keep_members(orders, "o_custkey", members, "c_custkey")
+    return kept.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+SQL_MEMBER_FILTER = """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+"""
+
+
+# -- SRC11 + JON6 + FLT6: request grid left-joined to landed replies -----------
+# Role mapping: every customer is a ticker; the "reply" for a (customer, year,
+# quarter) is built from its orders of that quarter -- a JSON object, or a
+# JSON list (no transcript) when any of those orders is still pending ('P').
+HARVEST_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
+
+
+def q_harvest(spark, sf):
+    tickers = _t(spark, sf, "customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("ticker"))
+    o = _t(spark, sf, "orders")
+    replies = o.groupBy(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("ticker"),
+        F.year("o_orderdate").alias("year"),
+        F.quarter("o_orderdate").alias("quarter"),
+    ).agg(
+        F.when(F.max(F.col("o_orderstatus") == "P"), F.lit("[]"))
+        .otherwise(F.to_json(F.struct(F.max("o_orderpriority").alias("transcript"), _ds(F.max("o_orderdate")).alias("date"))))
+        .alias("reply")
+    )
+    out = harvest_transcripts(tickers, replies, HARVEST_YEARS)
+    return out.select("ticker", F.col("year").cast("bigint").alias("year"), F.col("quarter").cast("bigint").alias("quarter"),
+                      "transcriptID", "transcript", "date")
+
+
+SQL_HARVEST = """
+WITH g AS (
+  SELECT 'C' || CAST(c_custkey AS VARCHAR) AS ticker, y AS year, q AS quarter
+  FROM customer, range(1995, 2002) r(y), range(1, 5) s(q)),
+r AS (
+  SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker, year(o_orderdate) AS year, quarter(o_orderdate) AS quarter,
+         bool_or(o_orderstatus = 'P') AS pending, max(o_orderpriority) AS transcript,
+         strftime(max(o_orderdate), '%Y-%m-%d') AS date
+  FROM orders GROUP BY 1, 2, 3)
+SELECT g.ticker, CAST(g.year AS BIGINT) AS year, CAST(g.quarter AS BIGINT) AS quarter,
+       CAST(g.year AS VARCHAR) || '-Q' || CAST(g.quarter AS VARCHAR) || '-' || g.ticker AS transcriptID,
+       r.transcript, r.date
+FROM g JOIN r ON g.ticker = r.ticker AND g.year = r.year AND g.quarter = r.quarter
+WHERE NOT r.pending
+"""
+
+
+# -- SRC10: ticker -> CIK lookup, first match ----------------------------------
+def q_cik_lookup(spark, sf):
+    c = _t(spark, sf, "customer")
+    ticker_list = c.select(F.col("c_custkey").alias("cik_str"), F.col("c_mktsegment").alias("ticker"))
+    out = lookup_cik(c.select("c_custkey", F.col("c_mktsegment").alias("ticker")), ticker_list)
+    return out.select("c_custkey", "ticker", "cik10D")
+
+
+SQL_CIK_LOOKUP = """
+SELECT c_custkey, c_mktsegment AS ticker,
+       lpad(CAST(min(c_custkey) OVER (PARTITION BY c_mktsegment) AS VARCHAR), 10, '0') AS cik10D
+FROM customer
+"""
+
+
 # -- PIP1: the whole fact build ------------------------------------------------
 # Role mapping: a customer is a company ("C<custkey>"), an order is a filing
 # ("A-<orderkey>"), each line item reports two raw tags chosen by its line
@@ -765,4 +837,7 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "union_all": (q_union_all, SQL_UNION_ALL),
     "date_key": (q_date_key, SQL_DATE_KEY),
     "filings_fact": (q_filings_fact, SQL_FILINGS_FACT),
+    "member_filter": (q_member_filter, SQL_MEMBER_FILTER),
+    "harvest": (q_harvest, SQL_HARVEST),
+    "cik_lookup": (q_cik_lookup, SQL_CIK_LOOKUP),
 }
