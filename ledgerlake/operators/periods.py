@@ -45,6 +45,11 @@ def next_values(
     ``bucket`` must be monotone along ``order`` (e.g. the year of the leading
     order date) and ``bucket_ascending`` must state its direction; the order
     must be total for the result to be deterministic.
+
+    Plan: the rows are shuffled once on (partition, bucket) and the heads
+    join reuses that partitioning.  The heads branch reads the input a second
+    time and shuffles a narrow projection of it; callers with an expensive
+    input write it once first (``session.materialize``), as the fact build does.
     """
     if bucket is None:
         w = Window.partitionBy(*partition_cols).orderBy(*order)
