@@ -184,7 +184,7 @@ def q_decumulate(spark, sf):
         order=[F.col("o_orderdate").desc(), F.col("o_orderkey").desc()],
         period_col="fp",
         value_cols=["v", "w"],
-        bucket=F.year("o_orderdate"),
+        bucket=F.trunc("o_orderdate", "month"),
         bucket_ascending=False,
     )
     return d.select("o_orderkey", "o_custkey", "fp", "v", "w")

@@ -60,7 +60,7 @@ def build_filings_fact(
     ``transcripts``: rows of ``read_transcripts`` (or None: all measures null).
     ``bucket``: split of a ticker for the normalisation window (see
     ``periods.next_values``); by default the filing list position in blocks
-    of 256, or the filing year when there is no list position.
+    of 256, or the filing month when there is no list position.
     ``cut_lineage``: write the filing-level table once (pivot joined to the
     filings) into the shared checkpoint folder.  Three later branches read it
     (price windows, the normalisation window, its bucket heads); without the
@@ -90,7 +90,7 @@ def build_filings_fact(
     if bucket is None and "filing_pos" in filings.columns:
         bucket = F.floor(F.col("filing_pos") / 256)
     elif bucket is None:
-        bucket, bucket_ascending = F.year("filingDate"), False
+        bucket, bucket_ascending = F.trunc("filingDate", "month"), False
     normalized = decumulate(classed, bucket=bucket, bucket_ascending=bucket_ascending)
     fact = normalized.select(*fixed.FACT_COLUMNS)
     fact = fact.withColumn("transcriptID", fact_transcript_key("ticker", "financialPeriod", report_year("reportDate")))
