@@ -16,6 +16,14 @@ from ledgerlake.operators.projections import (
 )
 from ledgerlake.operators.quality import duplicate_keys, missing_data_flags, null_counts, raise_if_failed, validate
 from ledgerlake.operators.reshape import drop_sparse, pivot_facts, pivot_wide
-from ledgerlake.operators.tags import child_to_parent, clean_facts, keep_canonical, map_tags, roll_up_tag
+from ledgerlake.operators.tags import (
+    child_to_parent,
+    clean_facts,
+    keep_canonical,
+    keep_rollup_canonical,
+    map_tags,
+    raw_tag_allow_list,
+    roll_up_tag,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

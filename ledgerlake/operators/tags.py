@@ -58,16 +58,34 @@ def keep_canonical(
     return df.filter(F.col(tag_col).isin(tags))
 
 
+def raw_tag_allow_list(hierarchy: Mapping[str, Sequence[str]] = fixed.TAG_HIERARCHY) -> list[str]:
+    """Raw tags whose roll-up is canonical.  Every parent of the dictionary is
+    canonical, so: rolled-up tag canonical <=> raw tag is a listed child or a
+    canonical name.  As an ``isin`` on the raw column this reaches the scan."""
+    return sorted(set(child_to_parent(hierarchy)) | set(hierarchy))
+
+
+def keep_rollup_canonical(
+    df: DataFrame, tag_col: str = "finType", hierarchy: Mapping[str, Sequence[str]] = fixed.TAG_HIERARCHY
+) -> DataFrame:
+    """SCL4 + FLT2 in the cheap order: filter the raw tags (pushed down to the
+    Parquet reader), then roll up only the rows that survive."""
+    return map_tags(df.filter(F.col(tag_col).isin(raw_tag_allow_list(hierarchy))), tag_col, hierarchy)
+
+
 def clean_facts(
     df: DataFrame,
     tag_col: str = "finType",
     date_key_col: str = "yearMonthDay",
     columns: Sequence[str] = ("finType", "end", "val", "accn", "fp", "filed", "start", "ticker", "frame"),
     tags: Sequence[str] | None = None,
+    check_tags: bool = True,
 ) -> DataFrame:
     """PIP3: canonical tags only, ``endDate`` parsed from the ``yyyyMMdd`` key,
     fixed column subset.  The original sort by (key, val) only steered a
-    'first' aggregate that is a max here, so no sort is needed."""
-    kept = keep_canonical(df, tag_col, tags)
+    'first' aggregate that is a max here, so no sort is needed.
+    ``check_tags=False`` when the rows were already restricted by
+    ``keep_rollup_canonical``."""
+    kept = keep_canonical(df, tag_col, tags) if check_tags else df
     present = [c for c in columns if c in df.columns]
     return kept.select(*present, parse_date(date_key_col, "yyyyMMdd").alias("endDate"))

@@ -36,7 +36,7 @@ from ledgerlake.operators.prices import add_price_change_class, window_closes
 from ledgerlake.operators.projections import union_all_by_name
 from ledgerlake.operators.quality import duplicate_keys, missing_data_flags, null_counts, validate
 from ledgerlake.operators.reshape import drop_sparse, pivot_wide
-from ledgerlake.operators.tags import keep_canonical, map_tags
+from ledgerlake.operators.tags import keep_rollup_canonical, map_tags
 from ledgerlake import fixed
 from ledgerlake.plans.dims import price_profile
 from ledgerlake.plans.filings import build_filings_fact
@@ -83,8 +83,8 @@ FROM events
 
 # -- SCL4 + FLT2 -------------------------------------------------------------
 def q_canonical_tags(spark, sf):
-    ev = map_tags(_t(spark, sf, "events"), "event_type", EVENT_HIERARCHY, out_col="tag")
-    return keep_canonical(ev, "tag", list(EVENT_HIERARCHY)).select("event_id", "tag", "value")
+    ev = keep_rollup_canonical(_t(spark, sf, "events"), "event_type", EVENT_HIERARCHY)
+    return ev.select("event_id", F.col("event_type").alias("tag"), "value")
 
 
 SQL_CANONICAL_TAGS = """

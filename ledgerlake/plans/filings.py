@@ -16,21 +16,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import fixed
-from ledgerlake.functions.scalars import fact_transcript_key, report_year
+from ledgerlake.functions.scalars import fact_transcript_key, report_year, transcript_key
 from ledgerlake.operators.joins import attach_transcripts, merge_filings
 from ledgerlake.operators.periods import decumulate
 from ledgerlake.operators.prices import add_price_change_class
 from ledgerlake.operators.quality import missing_data_flags, raise_if_failed, validate
 from ledgerlake.operators.reshape import pivot_facts
-from ledgerlake.operators.tags import clean_facts, map_tags
+from ledgerlake.operators.tags import clean_facts, keep_rollup_canonical
 from ledgerlake.session import materialize
 from ledgerlake.sinks.tables import write_fact_table, write_validation_table
 from ledgerlake.streaming.landing import transcript_measures
 
 
 def prepare_facts(facts_long: DataFrame) -> DataFrame:
-    """SCL4 + PIP3 + AGG1 + FLT3: long facts -> one row per filing and period."""
-    return pivot_facts(clean_facts(map_tags(facts_long, "finType")))
+    """SCL4 + PIP3 + AGG1 + FLT3: long facts -> one row per filing and period.
+
+    The canonical-tag filter is applied to the raw tag before the roll-up
+    (an equivalent ``isin`` that reaches the Parquet scan), so the lookup runs
+    only on kept rows."""
+    return pivot_facts(clean_facts(keep_rollup_canonical(facts_long, "finType"), check_tags=False))
 
 
 def add_stock_price_dim(df: DataFrame, prices: DataFrame, price_ticker_col: str = "ticker", price_date_col: str = "Date", price_col: str = "Close", orientation: str = "reference") -> DataFrame:
@@ -96,7 +100,13 @@ def build_filings_fact(
     fact = fact.withColumn("transcriptID", fact_transcript_key("ticker", "financialPeriod", report_year("reportDate")))
     if transcripts is None:
         return fact.withColumns({m: F.lit(None).cast("double" if m == "SentimentScore" else "bigint") for m in fixed.TRANSCRIPT_MEASURES})
-    return attach_transcripts(fact, transcript_measures(transcripts, scorer_factory), "transcriptID")
+    # Only transcripts whose key occurs in the fact table can reach the output
+    # (left join from the facts), so the costly text measures run on those
+    # alone: a null-safe semi-join on the distinct fact keys comes first.
+    keyed = transcripts.withColumn("_tid", transcript_key("ticker", "quarter", "year"))
+    wanted = fact.select(F.col("transcriptID").alias("_want")).distinct()
+    needed = keyed.join(wanted, keyed["_tid"].eqNullSafe(wanted["_want"]), "left_semi").drop("_tid")
+    return attach_transcripts(fact, transcript_measures(needed, scorer_factory), "transcriptID")
 
 
 def run_filings_job(fact: DataFrame, fact_path: str, validation_path: str, validation_mode: str = "overwrite") -> DataFrame:

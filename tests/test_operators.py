@@ -226,3 +226,13 @@ def test_classification_total_and_monotone(spark):
     got = [r[1] for r in sorted(df.select("p", change_class("p")).collect())]
     assert all(c in range(1, 8) for c in got)
     assert got == sorted(got)
+
+
+def test_raw_tag_prefilter_equals_rollup_then_filter(spark):
+    from ledgerlake.operators import keep_rollup_canonical
+
+    tags = ["Assets", "AssetsCurrent", "ProfitLoss", "Goodwill", "EBITDA", "OperatingIncomeLossBeforeDepreciationAndAmortization", None, "Revenues"]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(tags)], "finType string, id int")
+    slow = keep_canonical(map_tags(df))
+    fast = keep_rollup_canonical(df)
+    assert sorted(slow.collect()) == sorted(fast.collect())

@@ -59,3 +59,11 @@ def test_price_window_joins_on_month_bucket(spark, scratch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert re.search(r"SortMergeJoin \[_t#\d+, _mb#\d+\], \[_pt#\d+, _pmb#\d+\], Inner", plan)
     assert "partial_min_by" in plan or "partial_min" in plan
+
+
+def test_raw_tag_prefilter_reaches_scan(spark, scratch):
+    from ledgerlake.operators import keep_rollup_canonical
+
+    df = _parquet(spark, scratch, [("AssetsCurrent", 1.0), ("Goodwill", 2.0)], "finType string, val double", "raw")
+    plan = _plan(keep_rollup_canonical(df))
+    assert re.search(r"PushedFilters: \[[^\]]*In\(finType", plan)
