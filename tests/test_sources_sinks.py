@@ -216,3 +216,29 @@ def test_fact_build_end_to_end(spark, scratch):
     report = run_filings_job(fact, f"{scratch}/out/fact", f"{scratch}/out/validation")
     assert all(r.passed for r in report.collect())
     assert spark.read.parquet(f"{scratch}/out/fact").count() == 2
+
+
+def test_jobs_over_landing_zone(spark, scratch):
+    """The spark-submit job: landing zone -> fact, validation and dimensions."""
+    from ledgerlake.plans.jobs import main
+
+    land, out = f"{scratch}/landing", f"{scratch}/star"
+    tags = {}
+    for tag in ["Revenues", "AssetsCurrent", "Liabilities", "StockholdersEquity", "CashAndCashEquivalents", "EarningsPerShareBasic", "SharesOutstanding"]:
+        tags[tag] = {"label": tag, "description": "", "units": {"USD": [_rec(None, "2024-03-31", 2.0, "A1", "Q1", "2024-05-01")]}}
+    _write(f"{land}/companyfacts/ticker=MSFT/c.json", json.dumps(_facts_doc(tags)))
+    _write(f"{land}/submissions/ticker=MSFT/c.json", json.dumps(_submissions_doc("789019", [
+        {"accessionNumber": "A1", "filingDate": "2024-05-01", "reportDate": "2024-03-31", "form": "10-Q", "primaryDocument": "a.htm"}])))
+    prices = spark.createDataFrame([("MSFT", dt.date(2024, 1, 2), 10.0), ("MSFT", dt.date(2024, 3, 1), 10.0)], "ticker string, Date date, Close double")
+    write_table(prices, f"{land}/prices", partition_by=["ticker"])
+    tr = spark.createDataFrame([("MSFT", 2024, 1, "2024-Q1-MSFT", "record growth", "2024-04-30")],
+                               "ticker string, year int, quarter int, transcriptID string, transcript string, date string")
+    write_transcripts(tr, f"{land}/transcripts")
+    _write(f"{land}/constituents.csv", "Symbol,Security,CIK\nMSFT,Microsoft,789019\nXOM,Exxon,34088\n")
+    main([land, out])
+    fact = spark.read.parquet(f"{out}/FillingsFact").collect()
+    assert len(fact) == 1 and fact[0].stockPriceChange == 4 and fact[0].PositiveWordCount == 2
+    assert spark.read.parquet(f"{out}/dimCalendar").count() == 7670
+    assert spark.read.parquet(f"{out}/dimStockPriceChange").count() == 7
+    assert [r.Symbol for r in spark.read.parquet(f"{out}/dimIndustry").collect()] == ["MSFT"]
+    assert [r.cik for r in spark.read.parquet(f"{out}/dimCompany").collect()] == ["789019"]
