@@ -28,8 +28,8 @@ def pad_cik(c: ColumnOrName, width: int = fixed.CIK_WIDTH) -> Column:
 
 # SCL5 / SCL2 -------------------------------------------------------------------
 def days_between(end: ColumnOrName, start: ColumnOrName) -> Column:
-    """Whole days from ``start`` to ``end``."""
-    return F.datediff(F.to_date(_c(end)), F.to_date(_c(start)))
+    """Whole days from ``start`` to ``end`` (null if either is not a date)."""
+    return F.datediff(parse_date(end), parse_date(start))
 
 
 def month_steps(days: ColumnOrName) -> Column:
@@ -40,10 +40,12 @@ def month_steps(days: ColumnOrName) -> Column:
 
 # SCL3 / SCL21 ------------------------------------------------------------------
 def parse_date(c: ColumnOrName, fmt: str | None = None) -> Column:
-    """Tolerant date parse: malformed, empty or null input gives null."""
+    """Tolerant date parse: malformed, empty or null input gives null.
+    Without a pattern a DATE passes through and a timestamp is truncated;
+    under ANSI mode a plain ``to_date`` would raise on malformed text."""
     col = _c(c)
     if fmt is None:
-        return F.try_to_date(col.cast("string"))
+        return F.try_to_date(col)
     return F.try_to_date(col.cast("string"), fmt)
 
 

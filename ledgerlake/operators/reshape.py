@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import fixed
-from ledgerlake.functions.scalars import fill_period, null_count
+from ledgerlake.functions.scalars import fill_period, null_count, parse_date
 
 _AGGS = {"max": F.max, "min": F.min, "sum": F.sum, "avg": F.avg, "first": F.max}
 
@@ -79,7 +79,7 @@ def pivot_facts(
         F.col(ticker_col).alias("ticker"),
         F.col(accession_col).alias("accessionNumber"),
         fill_period(period_col).alias("financialPeriod"),
-        F.to_date(F.col(filed_col)).alias("filingDate"),
+        parse_date(filed_col).alias("filingDate"),
         F.to_date(F.col(end_col)).alias("endDate"),
         F.col(tag_col).alias("_tag"),
         F.col(value_col).cast("double").alias("_val"),

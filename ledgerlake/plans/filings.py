@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import fixed
-from ledgerlake.functions.scalars import fact_transcript_key, report_year, transcript_key
+from ledgerlake.functions.scalars import fact_transcript_key, parse_date, report_year, transcript_key
 from ledgerlake.operators.joins import attach_transcripts, merge_filings
 from ledgerlake.operators.periods import decumulate
 from ledgerlake.operators.prices import add_price_change_class
@@ -74,9 +74,9 @@ def build_filings_fact(
     pivot = prepare_facts(facts_long)
     filings = filings.select(
         "accessionNumber",
-        F.to_date("reportDate").alias("reportDate"),
+        parse_date("reportDate").alias("reportDate"),  # '' for e.g. 8-K: null, not an error
         "form",
-        F.to_date("filingDate").alias("filingDate"),
+        parse_date("filingDate").alias("filingDate"),
         "primaryDocDescription",
         "fileURL",
         *(["filing_pos"] if "filing_pos" in filings.columns else []),

@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.functions.scalars import date_key, epoch_to_date, filing_url, first_value, pad_cik
-from ledgerlake.operators.periods import month_window
+from ledgerlake.functions.scalars import date_key, days_between, epoch_to_date, filing_url, first_value, month_steps, pad_cik
 from ledgerlake.operators.projections import flatten_lists
 from ledgerlake import fixed
 
@@ -148,6 +147,7 @@ def explode_parallel(df: DataFrame, keep: list[str], arrays: list[str], pos_col:
 def company_facts_rows(docs: DataFrame, ticker_col: str = "ticker") -> DataFrame:
     """SRC1 (+ JON1, WIN2, SCL2, SCL3): company-facts documents -> one row per
     reported value of namespace us-gaap, first unit of each tag only.
+    Narrow: generators and array functions only, no shuffle.
 
     Columns: finType, label, description, end, val, accn, fp, form, filed,
     frame, start, monthWindow, yearMonthDay, ticker.  A tag whose first unit
@@ -156,18 +156,22 @@ def company_facts_rows(docs: DataFrame, ticker_col: str = "ticker") -> DataFrame
     tags = docs.select(
         F.col(ticker_col).alias("ticker"),
         F.explode(F.col("facts").getField("us-gaap")).alias("finType", "tag"),
-    )
+    ).withColumn("_records", first_value("tag.units"))
+    # WIN2 without a shuffle: a tag's records are one array in one row here, so
+    # "some record of the tag has a start" is a higher-order test on it.
     records = tags.select(
         "ticker",
         "finType",
         F.col("tag.label").alias("label"),
         F.col("tag.description").alias("description"),
-        F.explode(first_value("tag.units")).alias("r"),
-    ).select("ticker", "finType", "label", "description", "r.*")
-    with_window = month_window(records, ["ticker", "finType"], "start", "end", "monthWindow")
-    return with_window.select(
+        F.exists("_records", lambda r: r.getField("start").isNotNull()).alias("_has_start"),
+        F.explode("_records").alias("r"),
+    ).select("ticker", "finType", "label", "description", "_has_start", "r.*")
+    steps = month_steps(days_between("end", "start"))
+    return records.select(
         "finType", "label", "description", "end", "val", "accn", "fp", "form", "filed", "frame", "start",
-        "monthWindow", date_key("end", "start").alias("yearMonthDay"), "ticker",
+        F.when(F.col("_has_start"), steps).alias("monthWindow"),
+        date_key("end", "start").alias("yearMonthDay"), "ticker",
     )
 
 

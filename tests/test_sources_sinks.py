@@ -199,7 +199,8 @@ def test_fact_build_end_to_end(spark, scratch):
     _write(f"{scratch}/facts/ticker=T/c.json", json.dumps(_facts_doc(tags)))
     _write(f"{scratch}/sub/ticker=T/c.json", json.dumps(_submissions_doc("1", [
         {"accessionNumber": "A2", "filingDate": "2024-08-01", "reportDate": "2024-06-30", "form": "10-Q", "primaryDocument": "b.htm"},
-        {"accessionNumber": "A1", "filingDate": "2024-05-01", "reportDate": "2024-03-31", "form": "10-Q", "primaryDocument": "a.htm"}])))
+        {"accessionNumber": "A1", "filingDate": "2024-05-01", "reportDate": "2024-03-31", "form": "10-Q", "primaryDocument": "a.htm"},
+        {"accessionNumber": "A0", "filingDate": "2024-04-02", "reportDate": "", "form": "8-K", "primaryDocument": "k.htm"}])))
     prices = spark.createDataFrame(
         [("T", dt.date(2024, 1, 2), 10.0), ("T", dt.date(2024, 3, 28), 12.0), ("T", dt.date(2024, 4, 1), 12.0), ("T", dt.date(2024, 6, 28), 12.0)],
         "ticker string, Date date, Close double",
