@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.classify import change_class, percent_change
+from ledgerlake.functions.classify import percent_change
 from ledgerlake.functions.scalars import (
     date_key,
     days_between,

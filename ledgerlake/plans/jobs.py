@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlake.session import apply_scale_defaults
 from ledgerlake.plans.dims import calendar_dimension, company_dimension, industry_dimension, price_change_dimension
 from ledgerlake.plans.filings import build_filings_fact, run_filings_job
 from ledgerlake.sinks.tables import write_table
@@ -76,6 +77,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--skip-dimensions", action="store_true")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("ledgerlake-filings").getOrCreate()
+    apply_scale_defaults(spark)
     tickers = [t for t in args.tickers.split(",") if t] or None
     fact_job(spark, args.landing, args.out, tickers)
     if not args.skip_dimensions:

@@ -45,6 +45,33 @@ def build_session(
     return spark
 
 
+# Sizing for the ~100 TB target (1000 executors).  Scans split at 256 MB; the
+# first shuffle of a stage starts wide and AQE coalesces it to ~256 MB
+# partitions, splits skewed ones (a key may hold a third of the rows) and
+# turns a join into a broadcast only when the *measured* side is under 64 MB.
+SCALE_DEFAULTS: dict[str, str] = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_scale_defaults(spark: SparkSession, defaults: dict[str, str] = SCALE_DEFAULTS) -> None:
+    """Apply ``defaults`` for every SQL setting the launch configuration did
+    not set; settings given at submit time always win."""
+    launched = spark.sparkContext.getConf()
+    for key, value in defaults.items():
+        if not launched.contains(key):
+            spark.conf.set(key, value)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
