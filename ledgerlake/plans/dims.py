@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import fixed
-from ledgerlake.functions.scalars import date_key, month_label, quarter_label
+from ledgerlake.functions.scalars import date_key, month_label, pad_cik, quarter_label
 from ledgerlake.operators.periods import period_means
 from ledgerlake.operators.projections import keep_members
 from ledgerlake.sources.calendar import calendar_dim
@@ -36,7 +36,7 @@ def company_dimension(
     """Descriptions of the companies whose constituent row is in ``tickers``:
     one semi-join on the padded CIK instead of one request per company."""
     chosen = industry_dimension(constituents, tickers, symbol_col).select(F.col(cik_col).alias("_cik"))
-    docs = submissions.withColumn("_cik", F.lpad(F.col("cik").cast("string"), fixed.CIK_WIDTH, "0"))
+    docs = submissions.withColumn("_cik", pad_cik("cik"))
     return company_descriptions(docs.join(chosen, "_cik", "left_semi"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions.scalars import pad_cik
 from ledgerlake.operators.joins import null_safe_join, request_grid
-from ledgerlake.operators.projections import clean_column_names, drop_incomplete, keep_members
+from ledgerlake.operators.projections import clean_column_names, drop_incomplete, keep_members, union_all_by_name
 
 TRANSCRIPT_FIELDS = [
     T.StructField("year", T.IntegerType()),
@@ -44,7 +44,37 @@ PRICE_BARS_SCHEMA = T.StructType(
 
 
 # SRC8 -----------------------------------------------------------------------
-def read_transcripts(spark: SparkSession, path: str, partitioned: bool = True) -> DataFrame:
+def csv_header_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Header layout -> files having it, for every CSV file under ``path``.
+
+    The first line of each file is cut out JVM-side; only file paths and
+    header strings (metadata, one row per file) reach the driver.
+    """
+    heads = (
+        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+        .select(F.col("_metadata.file_path").alias("f"), F.substring_index("value", "\n", 1).alias("h"))
+        .filter(F.col("f").endswith(".csv"))
+        .collect()
+    )
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in heads:
+        names = tuple(c.strip().strip('"').strip("\ufeff") for c in row.h.rstrip("\r").split(","))
+        layouts.setdefault(names, []).append(row.f)
+    return layouts
+
+
+def _transcript_reader(spark: SparkSession, schema: T.StructType):
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("multiLine", True)
+        .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("ignoreCorruptFiles", True)
+    )
+
+
+def read_transcripts(spark: SparkSession, path: str, partitioned: bool = True, align_headers: bool = False) -> DataFrame:
     """SRC8: every transcript CSV under ``path`` (header, quoted multi-line
     text) plus ``source_file``.
 
@@ -52,26 +82,38 @@ def read_transcripts(spark: SparkSession, path: str, partitioned: bool = True) -
     ticker in a ``ticker=<T>`` directory; otherwise each file carries a
     ticker column.  ``enforceSchema=false`` makes a file whose header differs
     from the schema fail instead of being read by position; unreadable files
-    are skipped (``ignoreCorruptFiles``).
+    are skipped (``ignoreCorruptFiles``).  ``align_headers``: files whose
+    columns come in another order are read per header layout and combined
+    by column name (as a by-name concatenation would), instead of failing.
     """
+    if align_headers:
+        return _read_transcripts_by_layout(spark, path, partitioned)
     schema = T.StructType(TRANSCRIPT_FIELDS if partitioned else TRANSCRIPT_SCHEMA_FLAT.fields)
     if partitioned:
         schema = T.StructType(schema.fields + [T.StructField("ticker", T.StringType())])
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("ignoreCorruptFiles", True)
-    )
-    df = reader.csv(path)
+    df = _transcript_reader(spark, schema).csv(path)
     return df.select(
         "ticker", "year", "quarter", "transcriptID", "transcript", "date",
         F.col("_metadata.file_name").alias("source_file"),
     )
 
 
+def _read_transcripts_by_layout(spark: SparkSession, path: str, partitioned: bool) -> DataFrame:
+    types = {f.name: f.dataType for f in TRANSCRIPT_SCHEMA_FLAT.fields}
+    parts = []
+    for names, files in csv_header_layouts(spark, path).items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        df = _transcript_reader(spark, schema).option("basePath", path).csv(files)
+        cols = [F.col(f"`{n}`").cast(types.get(n, T.StringType())).alias(n) for n in names]
+        if partitioned and "ticker" not in names:
+            cols.append(F.regexp_extract(F.col("_metadata.file_path"), r"ticker=([^/]+)", 1).alias("ticker"))
+        parts.append(df.select(*cols, F.col("_metadata.file_name").alias("source_file")))
+    if not parts:
+        return spark.createDataFrame([], T.StructType(TRANSCRIPT_SCHEMA_FLAT.fields + [T.StructField("source_file", T.StringType())]))
+    out = union_all_by_name(*parts)
+    return out.select("ticker", "year", "quarter", "transcriptID", "transcript", "date", "source_file")
+
+
 # SRC9 -----------------------------------------------------------------------
 def read_price_change_dim(spark: SparkSession, path: str) -> DataFrame:
     """SRC9: the static price-change dimension; the UTF-8 BOM is dropped by

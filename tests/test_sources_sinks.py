@@ -243,3 +243,13 @@ def test_jobs_over_landing_zone(spark, scratch):
     assert spark.read.parquet(f"{out}/dimStockPriceChange").count() == 7
     assert [r.Symbol for r in spark.read.parquet(f"{out}/dimIndustry").collect()] == ["MSFT"]
     assert [r.cik for r in spark.read.parquet(f"{out}/dimCompany").collect()] == ["789019"]
+
+
+def test_transcripts_header_layouts_combined_by_name(spark, scratch):
+    """D20: files with another column order are aligned by header name."""
+    d = f"{scratch}/mixed"
+    _write(f"{d}/a.csv", 'ticker,year,quarter,transcriptID,transcript,date\nAAA,2024,1,2024-Q1-AAA,"one, two",2024-04-30\n')
+    _write(f"{d}/b.csv", 'transcript,date,ticker,quarter,year,transcriptID\n"three\nfour",2024-07-30,BBB,2,2024,2024-Q2-BBB\n')
+    rows = {r.ticker: r for r in read_transcripts(spark, d, partitioned=False, align_headers=True).collect()}
+    assert rows["AAA"].transcript == "one, two" and rows["AAA"].year == 2024
+    assert rows["BBB"].transcript == "three\nfour" and rows["BBB"].quarter == 2 and rows["BBB"].source_file == "b.csv"
