@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from ledgerlake import fixed
 from ledgerlake.functions.classify import change_class, percent_change
 from ledgerlake.functions.scalars import minus_months
-from ledgerlake.operators.joins import null_safe_join
 
 
 def window_closes(
@@ -103,4 +102,7 @@ def add_price_change_class(
         change_class(percent_change("first_close", "last_close", orientation)).alias(out_col),
     )
     keyed = facts.withColumn("_rd_key", F.to_date(F.col(report_col)))
-    return null_safe_join(keyed, classes, [ticker_col, "_rd_key"], "left").drop("_rd_key")
+    # The class table never holds a null key (null windows are dropped), so a
+    # plain equi-join equals the null-safe one and keeps the aggregate's
+    # partitioning on (ticker, report date): no second shuffle of the classes.
+    return keyed.join(classes, [ticker_col, "_rd_key"], "left").drop("_rd_key")

@@ -30,7 +30,7 @@ from ledgerlake.functions.scalars import (
     transcript_key,
 )
 from ledgerlake.functions.text import sentiment_score, softmax_margin, text_measures
-from ledgerlake.operators.joins import attach_transcripts, merge_filings, null_safe_join
+from ledgerlake.operators.joins import attach_transcripts, merge_filings
 from ledgerlake.operators.periods import decumulate, month_window, period_means
 from ledgerlake.operators.prices import add_price_change_class, window_closes
 from ledgerlake.operators.projections import union_all_by_name
@@ -222,8 +222,8 @@ def _supplier_prices(spark, sf):
 
 def q_price_window(spark, sf):
     facts, prices = _supplier_prices(spark, sf)
-    closes = window_closes(facts, prices)
-    out = null_safe_join(facts, closes, ["ticker", "reportDate"], "left")
+    closes = window_closes(facts, prices)  # never a null key: plain equi-join keeps its partitioning
+    out = facts.join(closes, ["ticker", "reportDate"], "left")
     return out.select(
         "ticker", _ds("reportDate").alias("report_date"), "first_close", "last_close",
         percent_change("first_close", "last_close").alias("pct"),
