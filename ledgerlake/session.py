@@ -75,14 +75,18 @@ def apply_scale_defaults(spark: SparkSession, defaults: dict[str, str] = SCALE_D
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from the session; only when it is unset (local tests) a scratch
-    folder is created and registered, so cluster settings are never overridden.
+    Read from the session, so cluster settings are never overridden.  Only a
+    local-mode session (tests, benchmarks) without one gets a fresh scratch
+    folder; on a cluster a missing setting is an error, because a
+    machine-local folder is not visible to other executors.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors (HDFS / object store)")
     local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, local)
     spark.sparkContext.setCheckpointDir(local)

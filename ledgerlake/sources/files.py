@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.functions.scalars import pad_cik
+from ledgerlake.functions.scalars import default_range, pad_cik
 from ledgerlake.operators.joins import null_safe_join, request_grid
 from ledgerlake.operators.projections import clean_column_names, drop_incomplete, keep_members, union_all_by_name
 
@@ -158,12 +158,15 @@ def read_prices(
     tickers: Sequence[str] | None = None,
     start: str | None = None,
     end: str | None = None,
+    years: int | None = None,
 ) -> DataFrame:
     """SRC6: daily bars from a Parquet table partitioned by ticker.
 
     The ticker list prunes partitions and the date bounds ([start, end),
-    end exclusive) are pushed to the Parquet scan.  A missing table gives an
-    empty frame, as the original download did on error.
+    end exclusive) are pushed to the Parquet scan.  ``years`` without bounds
+    is the default range of the original download (SCL15: the last
+    366 * years days up to today).  A missing table gives an empty frame, as
+    the original download did on error.
     """
     try:
         df = spark.read.parquet(path)
@@ -171,6 +174,9 @@ def read_prices(
         return spark.createDataFrame([], PRICE_BARS_SCHEMA)
     if tickers is not None:
         df = keep_members(df, "ticker", list(tickers))
+    if years is not None and start is None and end is None:
+        lo, hi = default_range(years)
+        df = df.filter((F.col("Date") >= lo) & (F.col("Date") < hi))
     if start is not None:
         df = df.filter(F.col("Date") >= F.to_date(F.lit(start)))
     if end is not None:

@@ -167,6 +167,10 @@ def test_read_prices_filters(spark, scratch):
     got = read_prices(spark, f"{scratch}/prices", ["T"], "2024-01-01", "2024-02-01").collect()
     assert [(r.ticker, r.Close) for r in got] == [("T", 1.0)]
     assert read_prices(spark, f"{scratch}/missing").count() == 0
+    recent = spark.createDataFrame([("T", dt.date.today() - dt.timedelta(days=3), 5.0), ("T", dt.date(1990, 1, 1), 6.0)],
+                                   "ticker string, Date date, Close double")
+    write_table(recent, f"{scratch}/prices2", partition_by=["ticker"])
+    assert [r.Close for r in read_prices(spark, f"{scratch}/prices2", years=1).collect()] == [5.0]
     export_csv(df, f"{scratch}/csv")
     assert spark.read.option("header", True).csv(f"{scratch}/csv").count() == 3
 
