@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import fixed
-from ledgerlake.functions.scalars import fact_transcript_key, parse_date, report_year, transcript_key
+from ledgerlake.functions.scalars import fact_transcript_key, full_year_as_q4, parse_date, report_year, transcript_key
 from ledgerlake.operators.joins import attach_transcripts, merge_filings
 from ledgerlake.operators.periods import decumulate
 from ledgerlake.operators.prices import add_price_change_class
@@ -103,8 +103,12 @@ def build_filings_fact(
     # Only transcripts whose key occurs in the fact table can reach the output
     # (left join from the facts), so the costly text measures run on those
     # alone: a null-safe semi-join on the distinct fact keys comes first.
+    # The keys come from the written filing-level table: the normalisation
+    # changes no ticker, report date or row, only FY -> Q4.
     keyed = transcripts.withColumn("_tid", transcript_key("ticker", "quarter", "year"))
-    wanted = fact.select(F.col("transcriptID").alias("_want")).distinct()
+    wanted = joined.select(
+        fact_transcript_key("ticker", full_year_as_q4("financialPeriod"), report_year("reportDate")).alias("_want")
+    ).distinct()
     needed = keyed.join(wanted, keyed["_tid"].eqNullSafe(wanted["_want"]), "left_semi").drop("_tid")
     return attach_transcripts(fact, transcript_measures(needed, scorer_factory), "transcriptID")
 
