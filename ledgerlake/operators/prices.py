@@ -89,11 +89,17 @@ def add_price_change_class(
     out_col: str = "stockPriceChange",
     months: int = fixed.PRICE_WINDOW_MONTHS,
     orientation: str = "reference",
+    windows: DataFrame | None = None,
 ) -> DataFrame:
     """PIP2 core: attach the price-change class of the window before each
-    report date.  A report with no price in its window gets a null class."""
+    report date.  A report with no price in its window gets a null class.
+
+    ``windows``: a cheaper frame with the same (ticker, report date) pairs as
+    ``facts`` -- e.g. a written table ``facts`` was derived from -- so the
+    window branch does not recompute the plan of ``facts``."""
+    source = facts if windows is None else windows
     closes = window_closes(
-        facts.select(ticker_col, report_col), prices, ticker_col, report_col,
+        source.select(ticker_col, report_col), prices, ticker_col, report_col,
         price_ticker_col, price_date_col, price_col, months,
     )
     classes = closes.select(

@@ -1,7 +1,7 @@
 """The filings fact build (PIP1) and its parts (PIP2, PIP3).
 
 ``build_filings_fact`` chains tag roll-up -> canonical filter -> pivot ->
-filings join | written once | price class -> quarter normalisation ->
+filings join | written once | quarter normalisation -> price class ->
 transcript measures.  The filing-level table is written once to the shared
 checkpoint folder because three branches read it.  Shuffles: the pivot aggregate, the filings join, the
 normalisation window, the price range join and its aggregate, the transcript
@@ -84,18 +84,18 @@ def build_filings_fact(
     joined = merge_filings(pivot, filings)
     if cut_lineage:
         joined = materialize(joined, "filings_level")
-    # The class depends only on (ticker, reportDate), which the normalisation
-    # does not change; classing first lets the price-window branch share the
-    # pivot's shuffle instead of recomputing the normalisation window.
-    classed = add_price_change_class(
-        joined, prices, "ticker", "reportDate", *price_cols, orientation=orientation
-    )
     bucket_ascending = True
     if bucket is None and "filing_pos" in filings.columns:
         bucket = F.floor(F.col("filing_pos") / 256)
     elif bucket is None:
         bucket, bucket_ascending = F.trunc("filingDate", "month"), False
-    normalized = decumulate(classed, bucket=bucket, bucket_ascending=bucket_ascending)
+    normalized = decumulate(joined, bucket=bucket, bucket_ascending=bucket_ascending)
+    # The class depends only on (ticker, reportDate), which the normalisation
+    # does not change: the price windows are read from the written table, so
+    # neither branch recomputes the other.
+    normalized = add_price_change_class(
+        normalized, prices, "ticker", "reportDate", *price_cols, orientation=orientation, windows=joined
+    )
     fact = normalized.select(*fixed.FACT_COLUMNS)
     fact = fact.withColumn("transcriptID", fact_transcript_key("ticker", "financialPeriod", report_year("reportDate")))
     if transcripts is None:
