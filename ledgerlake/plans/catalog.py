@@ -350,7 +350,7 @@ SQL_TRANSCRIPT_JOIN = f"""
 WITH tr AS (
   SELECT d.lang || 'Q' || CAST(l.quality + 1 AS VARCHAR) || CAST(d.doc_id AS VARCHAR) AS transcriptID,
          {_sql_text_measures('d.text', TEST_POSITIVE, TEST_NEGATIVE)},
-         CASE WHEN d.text IS NULL OR length({_SQL_CLEAN.replace('text', 'd.text')}) = 0 THEN 0.0 END AS SentimentScore
+         CASE WHEN d.text IS NULL OR length({_SQL_CLEAN.replace('text', 'd.text')}) = 0 THEN CAST(0.0 AS DOUBLE) END AS SentimentScore
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 f AS (SELECT doc_id, lang || 'Q1' || CAST(doc_id AS VARCHAR) AS transcriptID FROM documents)
 SELECT f.doc_id, f.transcriptID, tr.TransLength, tr.TotalTokens, tr.PositiveWordCount, tr.NegativeWordCount, tr.SentimentScore
@@ -796,7 +796,7 @@ fact AS (
 tr AS (
   SELECT 'C' || CAST(doc_id AS VARCHAR) || 'Q' || CAST(doc_id % 4 + 1 AS VARCHAR) || CAST(doc_id % 7 + 1995 AS VARCHAR) AS transcriptID,
          {_sql_text_measures('text', fixed.POSITIVE_WORDS, fixed.NEGATIVE_WORDS)},
-         CASE WHEN text IS NULL OR length({_SQL_CLEAN}) = 0 THEN 0.0 END AS SentimentScore
+         CASE WHEN text IS NULL OR length({_SQL_CLEAN}) = 0 THEN CAST(0.0 AS DOUBLE) END AS SentimentScore
   FROM documents)
 SELECT f.accessionNumber, f.ticker, strftime(f.reportDate, '%Y-%m-%d') AS reportDate,
        strftime(f.filingDate, '%Y-%m-%d') AS filingDate, strftime(f.endDate, '%Y-%m-%d') AS endDate,

@@ -50,3 +50,17 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0
     assert len(df.columns) == 25
+
+
+_SPARK = {"int": "integer", "bigint": "bigint", "double": "double", "string": "string", "boolean": "boolean", "date": "date"}
+_DUCK = {"INTEGER": "integer", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date"}
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_types_match_oracle(spark, duck, name):
+    """The driver compares schemas too: both sides must produce the same type
+    family per column (no DECIMAL literal against a DOUBLE, no INT vs BIGINT)."""
+    stypes = {c: _SPARK.get(t, t) for c, t in entry.queries()[name](spark, SF001).dtypes}
+    rel = duck.sql(entry.oracle_sql()[name])
+    dtypes = {c: _DUCK.get(str(t).upper(), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert stypes == dtypes
