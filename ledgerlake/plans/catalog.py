@@ -288,7 +288,7 @@ def q_price_profile(spark, sf):
         F.col("l_suppkey").cast("string").alias("ticker"), _ds("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("adjClose"),
     )
-    return price_profile(chart, decimal_scale=2)
+    return price_profile(chart, decimal_scale=2, keep_labels=True)
 
 
 SQL_PRICE_PROFILE = """

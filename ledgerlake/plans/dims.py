@@ -47,13 +47,16 @@ def price_change_dimension(spark: SparkSession, path: str | None = None) -> Data
     return read_price_change_dim(spark, path)
 
 
-def price_profile(chart: DataFrame, decimal_scale: int | None = None) -> DataFrame:
+def price_profile(chart: DataFrame, decimal_scale: int | None = None, keep_labels: bool = False) -> DataFrame:
     """PIP5: daily adjusted closes with the quarter and month means of the
-    ticker (SCL9 labels, AGG2) and the ``yyyyMMdd`` key (SCL3)."""
+    ticker (AGG2) and the ``yyyyMMdd`` key (SCL3).  The period labels (SCL9)
+    are the grouping keys of the original; they are dropped from its output,
+    and kept here only with ``keep_labels``."""
     means = period_means(chart, ["ticker"], "date", "adjClose", "quarter_meanADJclose", "month_meanADJclose", decimal_scale)
-    return means.select(
+    cols = [
         "adjClose", "ticker", "quarter_meanADJclose", "month_meanADJclose",
         date_key("date", "date").alias("yearMonthDay"),
-        quarter_label("date").alias("Quarter"),
-        month_label("date").alias("Month"),
-    )
+    ]
+    if keep_labels:
+        cols += [quarter_label("date").alias("Quarter"), month_label("date").alias("Month")]
+    return means.select(*cols)

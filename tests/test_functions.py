@@ -146,7 +146,7 @@ def test_softmax_margin(spark):
     assert got == pytest.approx((e[0] - e[1]) / sum(e))
 
 
-def test_sentiment_scorer_loaded_once_per_worker(spark):
+def test_sentiment_with_injected_scorer(spark):
     """The injected scorer runs in an iterator pandas UDF; blank text stays 0.0."""
 
     def factory():

@@ -107,7 +107,8 @@ def test_chart_rows_and_profile(spark, scratch):
     _write(f"{scratch}/chart/ticker=T/c.json", json.dumps(doc))
     rows = read_chart(spark, f"{scratch}/chart")
     assert sorted((r.date, r.adjClose) for r in rows.collect()) == [("2024-01-02", 1.0), ("2024-01-03", 3.0)]
-    prof = price_profile(rows).collect()
+    assert price_profile(rows).columns == ["adjClose", "ticker", "quarter_meanADJclose", "month_meanADJclose", "yearMonthDay"]
+    prof = price_profile(rows, keep_labels=True).collect()
     assert {r.quarter_meanADJclose for r in prof} == {2.0} and {r.Quarter for r in prof} == {"Q1-2024"}
     assert {r.Month for r in prof} == {"Month1-2024"} and {r.yearMonthDay for r in prof} == {"20240102", "20240103"}
 
