@@ -7,7 +7,7 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import Window
+
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import (

@@ -6,8 +6,6 @@ import datetime as dt
 import json
 import os
 
-import pytest
-from pyspark.sql import functions as F
 
 from ledgerlake.plans.dims import calendar_dimension, company_dimension, industry_dimension, price_change_dimension, price_profile
 from ledgerlake.plans.filings import build_filings_fact, run_filings_job
