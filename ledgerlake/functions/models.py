@@ -1,0 +1,72 @@
+"""Scorer factories for the transcript sentiment score (SCL17).
+
+The original job scores each transcript with a sequence-classification model
+(text truncated to the model limit, softmax over the logits, p[0] - p[1]),
+reloading the model for every row.  Here a *factory* builds the scorer once
+per Python worker; ``functions.text.logits_udf`` calls it inside an iterator
+pandas UDF and feeds it Arrow batches.  The softmax margin itself is a Spark
+expression (``softmax_margin``).
+
+``onnx_classifier`` loads a model exported to ONNX plus its ``tokenizer.json``
+with the ``onnxruntime`` and ``tokenizers`` packages (imported lazily, on the
+workers).  No model ships with the package: without model files the score
+stays null.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+import numpy as np
+
+Scorer = Callable[[list[str]], Sequence[Sequence[float]]]
+
+
+def encode_batch(tokenizer, texts: list[str], max_length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids and attention mask, truncated to ``max_length`` and padded to
+    the longest text of the batch (with the tokenizer's own padding settings
+    when it has them)."""
+    tokenizer.enable_truncation(max_length=max_length)
+    if tokenizer.padding is None:
+        tokenizer.enable_padding()
+    encodings = tokenizer.encode_batch(texts)
+    ids = np.array([e.ids for e in encodings], dtype=np.int64)
+    mask = np.array([e.attention_mask for e in encodings], dtype=np.int64)
+    return ids, mask
+
+
+def onnx_classifier(
+    model_path: str,
+    tokenizer_path: str,
+    max_length: int = 512,
+    batch_size: int = 32,
+    logits_output: int = 0,
+) -> Callable[[], Scorer]:
+    """Factory of a scorer text -> logits backed by an ONNX model.
+
+    Paths must be readable from every worker (shared storage or files shipped
+    with the job).  Inputs named ``input_ids`` / ``attention_mask`` (and
+    ``token_type_ids`` when the model has it) are fed; output
+    ``logits_output`` is returned.
+    """
+
+    def factory() -> Scorer:
+        import onnxruntime as ort
+        from tokenizers import Tokenizer
+
+        session = ort.InferenceSession(model_path, providers=["CPUExecutionProvider"])
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        wanted = {i.name for i in session.get_inputs()}
+
+        def score(texts: list[str]) -> list[list[float]]:
+            out: list[list[float]] = []
+            for start in range(0, len(texts), batch_size):
+                ids, mask = encode_batch(tokenizer, texts[start : start + batch_size], max_length)
+                feed = {"input_ids": ids, "attention_mask": mask, "token_type_ids": np.zeros_like(ids)}
+                logits = session.run(None, {k: v for k, v in feed.items() if k in wanted})[logits_output]
+                out.extend(np.asarray(logits, dtype=np.float64).tolist())
+            return out
+
+        return score
+
+    return factory
