@@ -99,7 +99,7 @@ def decumulate(
     order: Sequence[Column] | None = None,
     period_col: str = "financialPeriod",
     value_cols: Sequence[str] = fixed.FLOW_METRICS,
-    bucket: Column | None = None,
+    bucket: Column | str | None = "auto",
     bucket_ascending: bool = True,
     cumulative_periods: Sequence[str] = fixed.CUMULATIVE_PERIODS,
     prior_periods: Sequence[str] = fixed.PRIOR_PERIODS,
@@ -114,13 +114,23 @@ def decumulate(
 
     Default order when none is given: the filing list position if present,
     else filing date and accession descending; then period, filing date and
-    period end ascending.
+    period end ascending.  ``bucket="auto"`` splits each partition along that
+    default order (list position in blocks of 256, else the filing month), so
+    no company runs in one task; with a custom ``order`` it means no split --
+    pass a bucket that is monotone along the custom order instead.
     """
+    auto = isinstance(bucket, str) and bucket == "auto"
+    if auto:
+        bucket = None
     if order is None:
         if "filing_pos" in df.columns:
             lead = [F.col("filing_pos").asc()]
+            if auto:
+                bucket, bucket_ascending = F.floor(F.col("filing_pos") / 256), True
         else:
             lead = [F.col("filingDate").desc(), F.col("accessionNumber").desc()]
+            if auto:
+                bucket, bucket_ascending = F.trunc("filingDate", "month"), False
         order = [*lead, F.col(period_col).asc(), F.col("filingDate").asc(), F.col("endDate").asc()]
     cols = [period_col, *value_cols]
     d = next_values(df, partition_cols, order, cols, bucket, bucket_ascending)

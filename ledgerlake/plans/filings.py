@@ -53,7 +53,8 @@ def build_filings_fact(
     transcripts: DataFrame | None,
     scorer_factory=None,
     price_cols: tuple[str, str, str] = ("ticker", "Date", "Close"),
-    bucket: Column | None = None,
+    bucket: Column | str | None = "auto",
+    bucket_ascending: bool = True,
     orientation: str = "reference",
     cut_lineage: bool = True,
 ) -> DataFrame:
@@ -63,8 +64,8 @@ def build_filings_fact(
     ``filings_rows``; ``prices``: daily bars (ticker, Date, Close);
     ``transcripts``: rows of ``read_transcripts`` (or None: all measures null).
     ``bucket``: split of a ticker for the normalisation window (see
-    ``periods.next_values``); by default the filing list position in blocks
-    of 256, or the filing month when there is no list position.
+    ``periods.decumulate``); "auto" splits by the filing list position in
+    blocks of 256, or by the filing month when there is no list position.
     ``cut_lineage``: write the filing-level table once (pivot joined to the
     filings) into the shared checkpoint folder.  Three later branches read it
     (price windows, the normalisation window, its bucket heads); without the
@@ -84,11 +85,6 @@ def build_filings_fact(
     joined = merge_filings(pivot, filings)
     if cut_lineage:
         joined = materialize(joined, "filings_level")
-    bucket_ascending = True
-    if bucket is None and "filing_pos" in filings.columns:
-        bucket = F.floor(F.col("filing_pos") / 256)
-    elif bucket is None:
-        bucket, bucket_ascending = F.trunc("filingDate", "month"), False
     normalized = decumulate(joined, bucket=bucket, bucket_ascending=bucket_ascending)
     # The class depends only on (ticker, reportDate), which the normalisation
     # does not change: the price windows are read from the written table, so
