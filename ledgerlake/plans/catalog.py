@@ -38,6 +38,7 @@ from ledgerlake.operators.quality import duplicate_keys, missing_data_flags, nul
 from ledgerlake.operators.reshape import drop_sparse, pivot_wide
 from ledgerlake.operators.tags import keep_rollup_canonical, map_tags
 from ledgerlake import fixed
+from ledgerlake.session import ensure_parallelism
 from ledgerlake.plans.dims import price_profile
 from ledgerlake.plans.filings import build_filings_fact
 from ledgerlake.operators.projections import keep_members
@@ -48,8 +49,12 @@ from ledgerlake.sources.filings_json import explode_parallel
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table.  ``spread`` for inputs that feed CPU-heavy per-row work
+    (text measures, the long-fact explode): see ``session.ensure_parallelism``
+    -- a no-op once the scan has at least as many splits as cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 def _ds(c) -> F.Column:
@@ -212,7 +217,7 @@ FROM n
 
 # -- JON4 + AGG3 + SCL6 ------------------------------------------------------
 def _supplier_prices(spark, sf):
-    li = _t(spark, sf, "lineitem")
+    li = _t(spark, sf, "lineitem", spread=True)
     prices = li.groupBy(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(
         F.max("l_extendedprice").alias("close")
     )
@@ -263,7 +268,7 @@ FROM w
 
 # -- AGG2 --------------------------------------------------------------------
 def q_period_means(spark, sf):
-    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice")
+    li = _t(spark, sf, "lineitem", spread=True).select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice")
     out = period_means(li, ["l_suppkey"], "l_shipdate", "l_extendedprice", decimal_scale=2)
     return out.select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_suppkey",
@@ -283,7 +288,7 @@ FROM lineitem
 
 # -- PIP5 (SCL9 + AGG2 + SCL3) ------------------------------------------------
 def q_price_profile(spark, sf):
-    li = _t(spark, sf, "lineitem")
+    li = _t(spark, sf, "lineitem", spread=True)
     chart = li.select(
         F.col("l_suppkey").cast("string").alias("ticker"), _ds("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("adjClose"),
@@ -306,7 +311,7 @@ FROM lineitem
 
 # -- SCL16 -------------------------------------------------------------------
 def q_text_stats(spark, sf):
-    docs = _t(spark, sf, "documents")
+    docs = _t(spark, sf, "documents", spread=True)
     return docs.select("doc_id", *[c.alias(n) for n, c in text_measures("text", TEST_POSITIVE, TEST_NEGATIVE).items()])
 
 
@@ -334,7 +339,7 @@ SQL_TEXT_STATS = f"SELECT doc_id, {_sql_text_measures('text', TEST_POSITIVE, TES
 
 # -- JON3 + SCL11 + SCL12 + SCL18 ---------------------------------------------
 def q_transcript_join(spark, sf):
-    docs = _t(spark, sf, "documents")
+    docs = _t(spark, sf, "documents", spread=True)
     labels = _t(spark, sf, "labels")
     # Transcripts: labelled documents; quarter from the quality label, year from the id.
     tr = docs.join(labels, "doc_id", "inner").select(
@@ -667,7 +672,7 @@ LINE_TAGS_QUANTITY = [
 
 def _filings_inputs(spark, sf):
     orders = _t(spark, sf, "orders")
-    lo = _t(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    lo = _t(spark, sf, "lineitem", spread=True).join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     ticker = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
     q = F.quarter("o_orderdate")
     fp = (
@@ -700,7 +705,7 @@ def _filings_inputs(spark, sf):
         filing_url(pad_cik("o_custkey"), accession, F.concat(F.col("o_orderkey").cast("string"), F.lit(".htm"))).alias("fileURL"),
     )
     prices = lo.groupBy(ticker.alias("ticker"), F.to_date("l_shipdate").alias("Date")).agg(F.max("l_extendedprice").alias("Close"))
-    docs = _t(spark, sf, "documents")
+    docs = _t(spark, sf, "documents", spread=True)
     transcripts = docs.select(
         F.concat(F.lit("C"), F.col("doc_id").cast("string")).alias("ticker"),
         (F.col("doc_id") % 4 + 1).alias("quarter"),

@@ -72,6 +72,23 @@ def apply_scale_defaults(spark: SparkSession, defaults: dict[str, str] = SCALE_D
             spark.conf.set(key, value)
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a narrow scan before CPU-heavy per-row work.
+
+    A Parquet file with a single row group (or a few) is read by that many
+    tasks, whatever the cluster size.  When a scan yields fewer partitions
+    than ``min_partitions`` (default: the session's default parallelism), rows
+    are redistributed round-robin so the following per-row work (regexes,
+    explodes, map-side aggregation) uses every core.  A cluster-scale input
+    has thousands of splits and is returned unchanged -- no shuffle.  Apply it
+    to scans, not to complex plans (the check plans its input).
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
