@@ -217,7 +217,8 @@ FROM n
 
 # -- JON4 + AGG3 + SCL6 ------------------------------------------------------
 def _supplier_prices(spark, sf):
-    li = _t(spark, sf, "lineitem", spread=True)
+    # light per-row work (two partial aggregates): not worth a redistribution
+    li = _t(spark, sf, "lineitem")
     prices = li.groupBy(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(
         F.max("l_extendedprice").alias("close")
     )
