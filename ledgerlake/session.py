@@ -66,10 +66,13 @@ SCALE_DEFAULTS: dict[str, str] = {
 def apply_scale_defaults(spark: SparkSession, defaults: dict[str, str] = SCALE_DEFAULTS) -> None:
     """Apply ``defaults`` for every SQL setting the launch configuration did
     not set; settings given at submit time always win."""
-    launched = spark.sparkContext.getConf()
+    sc = _context(spark)
     for key, value in defaults.items():
-        if not launched.contains(key):
-            spark.conf.set(key, value)
+        if sc is not None and sc.getConf().contains(key):
+            continue
+        if sc is None and spark.conf.get(key, None) not in (None, ""):
+            continue
+        spark.conf.set(key, value)
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -85,8 +88,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave the plan as is
+        return df
+    return df.repartition(target) if narrow else df
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -97,19 +104,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder; on a cluster a missing setting is an error, because a
     machine-local folder is not visible to other executors.
     """
-    current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors (HDFS / object store)")
     local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Cut lineage: write ``df`` once as a Parquet table in the shared
     checkpoint folder and return a reader of it.
