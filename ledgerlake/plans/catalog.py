@@ -49,11 +49,32 @@ from ledgerlake.sources.filings_json import explode_parallel
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Schemas of the driver tables (identical at every scale factor).  Declaring
+# them skips the schema-inference job of each read, and the timestamps are
+# read as TIMESTAMP_NTZ whatever the session's inference setting.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A driver table.  ``spread`` for inputs that feed CPU-heavy per-row work
     (text measures, the long-fact explode): see ``session.ensure_parallelism``
     -- a no-op once the scan has at least as many splits as cores."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
     return ensure_parallelism(df) if spread else df
 
 
