@@ -71,8 +71,10 @@ def window_closes(
         w.join(p, cond, "inner")
         .groupBy("_t", "_rd")
         .agg(
-            F.min_by("_close", "_pd").alias("first_close"),
-            F.max_by("_close", "_pd").alias("last_close"),
+            # ties on a date (duplicate bars) break on the close itself, so a
+            # recomputation after a lost executor gives the same answer
+            F.min_by("_close", F.struct("_pd", "_close")).alias("first_close"),
+            F.max_by("_close", F.struct("_pd", "_close")).alias("last_close"),
         )
         .withColumnsRenamed({"_t": ticker_col, "_rd": report_col})
     )
