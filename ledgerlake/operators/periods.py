@@ -132,6 +132,10 @@ def decumulate(
             if auto:
                 bucket, bucket_ascending = F.trunc("filingDate", "month"), False
         order = [*lead, F.col(period_col).asc(), F.col("filingDate").asc(), F.col("endDate").asc()]
+        if "filing_pos" in df.columns:
+            # a filing listed under two tickers' submissions shares a position:
+            # the accession makes the order total (deterministic recomputation)
+            order.append(F.col("accessionNumber").asc())
     cols = [period_col, *value_cols]
     d = next_values(df, partition_cols, order, cols, bucket, bucket_ascending)
     applies = (
