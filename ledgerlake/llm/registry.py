@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import dedup_exact, mixing, sharding, winnowing
+from ledgerlake.llm import dedup_exact, mixing, near_dedup, sharding, tokens, winnowing
 
 QUERIES = {
     "op1_decontamination": (winnowing.op1_decontamination, winnowing.OP1_SQL),
     "op2_mixing": (mixing.op2_mixing, None),
     "op4_sharding": (sharding.op4_sharding, None),
     "op6_exact_dedup": (dedup_exact.op6_exact_dedup, dedup_exact.OP6_SQL),
+    "op7_token_output": (tokens.op7_token_output, None),
+    "op10_near_dedup": (near_dedup.op10_near_dedup, near_dedup.OP10_SQL),
 }
