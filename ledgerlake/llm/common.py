@@ -75,7 +75,7 @@ def spans_of(text: Column, pattern: str) -> Column:
     empty = F.expr("cast(array() as array<struct<start:int,end:int,hit:string>>)")
 
     def step(acc: Column, x: Column) -> Column:
-        start = F.coalesce(F.element_at(acc, -1)["end"], F.lit(0)) + x["gap"]
+        start = F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(0)) + x["gap"]
         return F.concat(
             acc, F.array(F.struct(start.alias("start"), (start + F.length(x["hit"])).alias("end"), x["hit"].alias("hit")))
         )
