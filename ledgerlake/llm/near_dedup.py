@@ -13,14 +13,20 @@ sets.  With 52 bands of 5 rows a pair at similarity 0.8 shares no band with
 probability (1 - 0.8^5)^52 = 1e-9, and fewer than ``SHARED`` = 3 bands with
 4e-7; more similar pairs are missed less often still.
 
-Only components are wanted, so candidates are tested in three rounds and a
+Only components are wanted, so candidates are tested in rounds and a
 pair whose documents are already connected is never built:
 
 1. texts with equal sets are one node;
 2. each node with the head of most of its buckets (one pair a node);
-3. each node with the heads of its other buckets;
+3. each node with the first and last members of its other buckets;
 4. all pairs of a bucket that are in different components yet: members outside
    the bucket's largest component against the others.
+
+The last round would meet every outlier of a large group with the whole group.
+An exact bound rules nearly all of that out before any pair is built: with
+``p`` shingles of a set that no other set of the round holds, two sets share at
+most m = min(n1 - p1, n2 - p2) shingles, so their similarity is at most
+m / (n1 + n2 - m).
 """
 
 from __future__ import annotations
@@ -148,12 +154,18 @@ def _set_pass(size: int, bloom, bits: int):
                         seen = seen if len(seen) < 100_000 else set()
                         seen.add(made[i])
                         cls.append(made[i][0])
-                        full.append(sets[i].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(full, pa.binary())], names=["cls", "items"])
+                        full.append(sets[i].view(np.int64))
+                listed = pa.array(full, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), listed], names=["cls", "items"])
 
     return run
 
 
+def _lists(column) -> list[np.ndarray]:
+    at, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
 def _confirm(percent: int):
     """Keep the pairs whose sets reach the similarity."""
 
@@ -162,8 +174,7 @@ def _confirm(percent: int):
 
         for batch in batches:
             linked = []
-            for one, two in zip(batch.column("one"), batch.column("two")):
-                x, y = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
+            for x, y in zip(_lists(batch.column("one")), _lists(batch.column("two"))):
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
@@ -197,7 +208,8 @@ def near_duplicates(
     # Buckets with two nodes or more, and their heads.
     nodes = sketched.select(F.col("rid").alias("nid"), "n", "bands").join(classes.select("nid"), "nid", "left_semi")
     placed = nodes.select("nid", "n", F.explode("bands").alias("key"))
-    heads = placed.groupBy("key").agg(F.min("nid").alias("head"), F.count("*").alias("c")).where("c > 1").drop("c")
+    heads = placed.groupBy("key").agg(F.min("nid").alias("head"), F.max("nid").alias("tail"), F.count("*").alias("c"))
+    heads = heads.where("c > 1").drop("c")
     members = keep(placed.join(heads, "key"), "buckets")
     if members.isEmpty():
         linked = None
@@ -219,7 +231,7 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     """(node, comp) of all nodes that have a confirmed link."""
     wanted = classes.join(members.select("nid").distinct(), "nid", "left_semi")
     bloom = bloom_of(wanted, "own", bloom_bits)
-    sets = docs.select(id_col, text_col).mapInArrow(_set_pass(size, bloom, bloom_bits), "cls binary, items binary")
+    sets = docs.select(id_col, text_col).mapInArrow(_set_pass(size, bloom, bloom_bits), "cls binary, items array<bigint>")
     # The filter lets a few others pass; the join with the class keeps the right ones.
     sets = keep(sets.join(classes.select("cls", "nid"), "cls").select("nid", "items"), "sets")
     sizes = classes.select("nid", "n")
@@ -243,10 +255,10 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
         named = comps.select(F.col("node").alias(node), F.col("comp").alias("_c"))
         return df.join(named, node, "left").withColumn(comp, F.coalesce("_c", node)).drop("_c")
 
-    # Heads of the other buckets.
-    open_ = with_comp(with_comp(votes.select("nid", "head"), "nid", "x"), "head", "y").where("x <> y")
-    tried = best.select("nid", F.col("best.head").alias("head"))
-    open_ = open_.join(tried, ["nid", "head"], "left_anti")
+    # First and last members of the other buckets.
+    ends = votes.select("nid", "head").unionAll(members.where("nid <> tail").select("nid", F.col("tail").alias("head"))).distinct()
+    open_ = with_comp(with_comp(ends, "nid", "x"), "head", "y").where("x <> y")
+    open_ = open_.join(best.select("nid", F.col("best.head").alias("head")), ["nid", "head"], "left_anti")
     links = keep(links.unionAll(confirm(open_.select(F.col("head").alias("a"), F.col("nid").alias("b")))), "links")
     comps = components(links)
 
@@ -255,11 +267,23 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     groups = inside.groupBy("key", "comp").agg(F.count("*").alias("c"))
     largest = groups.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
     largest = largest.where("comps > 1").select("key", F.col("top.comp").alias("top"))
-    mixed = inside.join(largest, "key")
-    few = mixed.where("comp <> top").select("key", F.col("nid").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-    every = mixed.select("key", F.col("nid").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), (F.col("comp") == F.col("top")).alias("main"))
-    apart = (F.col("ac") != F.col("bc")) & (F.col("main") | (F.col("a") < F.col("b"))) & alike("an", "bn")
-    pairs = few.join(every, "key").where(apart).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    mixed = keep(inside.join(largest, "key").withColumn("main", F.col("comp") == F.col("top")).drop("top"), "mixed-buckets")
+    items = sets.join(mixed.select("nid").distinct(), "nid", "left_semi").select("nid", F.explode("items").alias("item"))
+    owned = items.groupBy("item").agg(F.min("nid").alias("nid"), F.count("*").alias("c")).where("c = 1")
+    owned = owned.groupBy("nid").agg(F.count("*").alias("p"))
+    # "most": shingles that any other set can share.
+    mixed = mixed.join(owned, "nid", "left").withColumn("most", F.col("n") - F.coalesce("p", F.lit(0)))
+    mixed = keep(mixed.where(F.col("most") * 100 >= F.col("n") * percent), "mixed-buckets")
+
+    def named(side: str) -> list[Column]:
+        return [F.col(c).alias(side + c) for c in ("nid", "n", "most", "comp", "main")]
+
+    few = mixed.where("not main").select("key", *named("a_"))
+    every = mixed.select("key", *named("b_"))
+    most = F.least("a_most", "b_most")
+    apart = (F.col("a_comp") != F.col("b_comp")) & (F.col("b_main") | (F.col("a_nid") < F.col("b_nid")))
+    apart = apart & (most * 100 >= (F.col("a_n") + F.col("b_n") - most) * percent)
+    pairs = few.join(every, "key").where(apart).select(F.least("a_nid", "b_nid").alias("a"), F.greatest("a_nid", "b_nid").alias("b"))
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c")).where(F.col("c") >= shared).select("a", "b")
     last = confirm(pairs)
     if last.isEmpty():
