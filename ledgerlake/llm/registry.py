@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import dedup_exact, mixing, near_dedup, pii, quality, secrets, sharding, tokens, winnowing
+from ledgerlake.llm import dedup_exact, licenses, mixing, near_dedup, pii, quality, secrets, sharding, tokens, winnowing
 
 QUERIES = {
     "op1_decontamination": (winnowing.op1_decontamination, winnowing.OP1_SQL),
     "op2_mixing": (mixing.op2_mixing, None),
+    "op3_license_scan": (licenses.op3_license_scan, licenses.OP3_SQL),
     "op4_sharding": (sharding.op4_sharding, None),
     "op5_quality": (quality.op5_quality, None),
     "op6_exact_dedup": (dedup_exact.op6_exact_dedup, dedup_exact.OP6_SQL),
