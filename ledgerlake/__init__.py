@@ -10,7 +10,6 @@ from ledgerlake.session import (
     apply_scale_defaults,
     build_session,
     checkpoint_dir,
-    ensure_parallelism,
     materialize,
 )
 
@@ -19,6 +18,5 @@ __all__ = [
     "apply_scale_defaults",
     "build_session",
     "checkpoint_dir",
-    "ensure_parallelism",
     "materialize",
 ]

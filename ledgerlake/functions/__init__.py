@@ -25,7 +25,6 @@ from ledgerlake.functions.scalars import (
     report_year,
     transcript_key,
 )
-from ledgerlake.functions.models import encode_batch, onnx_classifier
 from ledgerlake.functions.text import (
     add_text_measures,
     clean_text,

@@ -66,8 +66,10 @@ def text_measures(
 
 
 def softmax_margin(logits: ColumnOrName, pos: int = 0, neg: int = 1) -> Column:
-    """p[pos] - p[neg] of softmax(logits), as a Spark expression."""
-    arr = F.transform(_c(logits), lambda x: F.exp(x.cast("double")))
+    """p[pos] - p[neg] of softmax(logits), as a Spark expression (the largest
+    logit is subtracted first, so large logits do not overflow)."""
+    top = F.array_repeat(F.array_max(_c(logits)).cast("double"), F.size(_c(logits)))
+    arr = F.zip_with(_c(logits), top, lambda x, m: F.exp(x.cast("double") - m))
     total = F.aggregate(arr, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
     return (F.element_at(arr, pos + 1) - F.element_at(arr, neg + 1)) / total
 

@@ -36,12 +36,15 @@ def merge_filings(
     """JON2 + FLT4: inner join on the accession and filing date, then keep rows
     whose period end lies in the report year.  The ticker comes from the facts.
 
-    The filing side keeps its list position (``filing_pos``) when present: it
-    is the row order the quarter normalisation needs.
+    The filing side keeps its list position (``filing_pos``) and its list's
+    ticker (``filing_ticker``) when present: together they are the row order
+    the quarter normalisation needs, one list after the other.
     """
-    cols = [c for c in filing_columns if c in filings.columns]
+    cols = [F.col(c) for c in filing_columns if c in filings.columns]
     if "filing_pos" in filings.columns:
-        cols.append("filing_pos")
+        cols.append(F.col("filing_pos"))
+        if "ticker" in filings.columns:
+            cols.append(F.col("ticker").alias("filing_ticker"))
     joined = filings.select(*cols).join(pivot, list(keys), "inner")
     if same_year:
         joined = joined.filter(F.year(F.col(end_col)) == F.year(F.col(report_col)))

@@ -112,7 +112,7 @@ def decumulate(
     where both are non-null (the next row's *original* value).  No same-year
     check is made, as in the original job.  Then FY becomes Q4.
 
-    Default order when none is given: the filing list position if present,
+    Default order when none is given: the filing list's ticker and position if present,
     else filing date and accession descending; then period, filing date and
     period end ascending.  ``bucket="auto"`` splits each partition along that
     default order (list position in blocks of 256, else the filing month), so
@@ -125,16 +125,18 @@ def decumulate(
     if order is None:
         if "filing_pos" in df.columns:
             lead = [F.col("filing_pos").asc()]
+            block = F.floor(F.col("filing_pos") / 256)
+            if "filing_ticker" in df.columns:  # a submission listed by two tickers: one list after the other
+                lead = [F.col("filing_ticker").asc(), *lead]
+                block = F.struct(F.col("filing_ticker").alias("t"), block.alias("b"))
             if auto:
-                bucket, bucket_ascending = F.floor(F.col("filing_pos") / 256), True
+                bucket, bucket_ascending = block, True
         else:
             lead = [F.col("filingDate").desc(), F.col("accessionNumber").desc()]
             if auto:
                 bucket, bucket_ascending = F.trunc("filingDate", "month"), False
         order = [*lead, F.col(period_col).asc(), F.col("filingDate").asc(), F.col("endDate").asc()]
         if "filing_pos" in df.columns:
-            # a filing listed under two tickers' submissions shares a position:
-            # the accession makes the order total (deterministic recomputation)
             order.append(F.col("accessionNumber").asc())
     cols = [period_col, *value_cols]
     d = next_values(df, partition_cols, order, cols, bucket, bucket_ascending)

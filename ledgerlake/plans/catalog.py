@@ -38,7 +38,6 @@ from ledgerlake.operators.quality import duplicate_keys, missing_data_flags, nul
 from ledgerlake.operators.reshape import drop_sparse, pivot_wide
 from ledgerlake.operators.tags import keep_rollup_canonical, map_tags
 from ledgerlake import fixed
-from ledgerlake.session import ensure_parallelism
 from ledgerlake.plans.dims import price_profile
 from ledgerlake.plans.filings import build_filings_fact
 from ledgerlake.operators.projections import keep_members
@@ -70,12 +69,9 @@ DRIVER_SCHEMAS = {
 }
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table.  ``spread`` for inputs that feed CPU-heavy per-row work
-    (text measures, the long-fact explode): see ``session.ensure_parallelism``
-    -- a no-op once the scan has at least as many splits as cores."""
-    df = spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    return ensure_parallelism(df) if spread else df
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, with its declared schema."""
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _ds(c) -> F.Column:
@@ -290,7 +286,7 @@ FROM w
 
 # -- AGG2 --------------------------------------------------------------------
 def q_period_means(spark, sf):
-    li = _t(spark, sf, "lineitem", spread=True).select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice")
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice")
     out = period_means(li, ["l_suppkey"], "l_shipdate", "l_extendedprice", decimal_scale=2)
     return out.select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_suppkey",
@@ -310,7 +306,7 @@ FROM lineitem
 
 # -- PIP5 (SCL9 + AGG2 + SCL3) ------------------------------------------------
 def q_price_profile(spark, sf):
-    li = _t(spark, sf, "lineitem", spread=True)
+    li = _t(spark, sf, "lineitem")
     chart = li.select(
         F.col("l_suppkey").cast("string").alias("ticker"), _ds("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("adjClose"),
@@ -333,7 +329,7 @@ FROM lineitem
 
 # -- SCL16 -------------------------------------------------------------------
 def q_text_stats(spark, sf):
-    docs = _t(spark, sf, "documents", spread=True)
+    docs = _t(spark, sf, "documents")
     return docs.select("doc_id", *[c.alias(n) for n, c in text_measures("text", TEST_POSITIVE, TEST_NEGATIVE).items()])
 
 
@@ -361,7 +357,7 @@ SQL_TEXT_STATS = f"SELECT doc_id, {_sql_text_measures('text', TEST_POSITIVE, TES
 
 # -- JON3 + SCL11 + SCL12 + SCL18 ---------------------------------------------
 def q_transcript_join(spark, sf):
-    docs = _t(spark, sf, "documents", spread=True)
+    docs = _t(spark, sf, "documents")
     labels = _t(spark, sf, "labels")
     # Transcripts: labelled documents; quarter from the quality label, year from the id.
     tr = docs.join(labels, "doc_id", "inner").select(
@@ -556,14 +552,14 @@ FROM lineitem GROUP BY l_orderkey
 # -- SCL17 scoring stage ------------------------------------------------------
 def q_softmax_diff(spark, sf):
     e = _t(spark, sf, "embeddings")
-    return e.select("vec_id", F.round(softmax_margin(F.slice("embedding", 1, 3)), 6).alias("score"))
+    return e.select("vec_id", F.round(softmax_margin("embedding"), 12).alias("score"))
 
 
 SQL_SOFTMAX_DIFF = """
 SELECT vec_id,
-       round((exp(CAST(embedding[1] AS DOUBLE)) - exp(CAST(embedding[2] AS DOUBLE)))
-             / (exp(CAST(embedding[1] AS DOUBLE)) + exp(CAST(embedding[2] AS DOUBLE)) + exp(CAST(embedding[3] AS DOUBLE))), 6) AS score
-FROM embeddings
+       round((exp(CAST(embedding[1] AS DOUBLE) - m) - exp(CAST(embedding[2] AS DOUBLE) - m))
+             / list_sum(list_transform(embedding, lambda x: exp(CAST(x AS DOUBLE) - m))), 12) AS score
+FROM (SELECT vec_id, embedding, CAST(list_max(embedding) AS DOUBLE) AS m FROM embeddings)
 """
 
 
@@ -694,7 +690,7 @@ LINE_TAGS_QUANTITY = [
 
 def _filings_inputs(spark, sf):
     orders = _t(spark, sf, "orders")
-    lo = _t(spark, sf, "lineitem", spread=True).join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    lo = _t(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
     ticker = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
     q = F.quarter("o_orderdate")
     fp = (
@@ -727,7 +723,7 @@ def _filings_inputs(spark, sf):
         filing_url(pad_cik("o_custkey"), accession, F.concat(F.col("o_orderkey").cast("string"), F.lit(".htm"))).alias("fileURL"),
     )
     prices = lo.groupBy(ticker.alias("ticker"), F.to_date("l_shipdate").alias("Date")).agg(F.max("l_extendedprice").alias("Close"))
-    docs = _t(spark, sf, "documents", spread=True)
+    docs = _t(spark, sf, "documents")
     transcripts = docs.select(
         F.concat(F.lit("C"), F.col("doc_id").cast("string")).alias("ticker"),
         (F.col("doc_id") % 4 + 1).alias("quarter"),

@@ -80,7 +80,7 @@ def build_filings_fact(
         parse_date("filingDate").alias("filingDate"),
         "primaryDocDescription",
         "fileURL",
-        *(["filing_pos"] if "filing_pos" in filings.columns else []),
+        *(["filing_pos", *(["ticker"] if "ticker" in filings.columns else [])] if "filing_pos" in filings.columns else []),
     )
     joined = merge_filings(pivot, filings)
     if cut_lineage:

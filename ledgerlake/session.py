@@ -9,7 +9,6 @@ executor never forces a recompute of a long plan.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +35,8 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", "16m")
+        .config("spark.sql.files.openCostInBytes", "1m")
         .config("spark.driver.memory", "16g")
     )
     for key, value in (extra or {}).items():
@@ -75,49 +76,15 @@ def apply_scale_defaults(spark: SparkSession, defaults: dict[str, str] = SCALE_D
         spark.conf.set(key, value)
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a narrow scan before CPU-heavy per-row work.
-
-    A Parquet file with a single row group (or a few) is read by that many
-    tasks, whatever the cluster size.  When a scan yields fewer partitions
-    than ``min_partitions`` (default: the session's default parallelism), rows
-    are redistributed round-robin so the following per-row work (regexes,
-    explodes, map-side aggregation) uses every core.  A cluster-scale input
-    has thousands of splits and is returned unchanged -- no shuffle.  Apply it
-    to scans, not to complex plans (the check plans its input).
-    """
-    if df.isStreaming:
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a Spark Connect session): leave the plan as is
-        return df
-    return df.repartition(target) if narrow else df
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster.
-
-    Read from the session, so cluster settings are never overridden.  Only a
-    local-mode session (tests, benchmarks) without one gets a fresh scratch
-    folder; on a cluster a missing setting is an error, because a
-    machine-local folder is not visible to other executors.
-    """
-    sc = _context(spark)
-    current = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
-    if current:
-        if sc is not None and sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-        return current
-    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors (HDFS / object store)")
-    local = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, local)
-    if sc is not None:
-        sc.setCheckpointDir(local)
-    return local
+    """The shared checkpoint folder of the cluster: ``spark.checkpoint.dir``
+    as the session has it.  Where it is unset (tests), a folder below the SQL
+    warehouse is set, which is shared by all executors too."""
+    current = spark.conf.get(CHECKPOINT_CONF, None)
+    if not current:
+        current = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+        spark.conf.set(CHECKPOINT_CONF, current)
+    return current
 
 
 def _context(spark: SparkSession):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 
@@ -39,20 +39,24 @@ def write_validation_table(df: DataFrame, path: str, mode: str = "overwrite") ->
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK4: CSV export with a header."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """SNK4: CSV export with a header; white space is kept, quotes are doubled."""
+    _csv(df.write.mode(mode)).csv(path)
 
 
 def write_transcripts(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """SNK5: one CSV directory per ticker (``ticker=<T>``), every field quoted
-    so multi-line text survives; ``read_transcripts`` reads it back."""
-    (
-        df.write.mode(mode)
-        .partitionBy("ticker")
-        .option("header", True)
-        .option("quoteAll", True)
+    so multi-line text survives; ``read_transcripts`` reads it back.  Rows are
+    dealt out by ticker and year, so a ticker gets a file per year at most."""
+    by_ticker = df.repartition("ticker", "year")
+    _csv(by_ticker.write.mode(mode).partitionBy("ticker")).option("quoteAll", True).csv(path)
+
+
+def _csv(writer: DataFrameWriter) -> DataFrameWriter:
+    return (
+        writer.option("header", True)
         .option("escape", '"')
-        .csv(path)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
     )
 
 

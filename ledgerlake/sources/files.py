@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions.scalars import default_range, pad_cik
 from ledgerlake.operators.joins import null_safe_join, request_grid
-from ledgerlake.operators.projections import clean_column_names, drop_incomplete, keep_members, union_all_by_name
+from ledgerlake.operators.projections import clean_column_names, drop_incomplete, keep_members
 
 TRANSCRIPT_FIELDS = [
     T.StructField("year", T.IntegerType()),
@@ -44,76 +45,49 @@ PRICE_BARS_SCHEMA = T.StructType(
 
 
 # SRC8 -----------------------------------------------------------------------
-def csv_header_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Header layout -> files having it, for every CSV file under ``path``.
+_MOST_COLUMNS = 16
 
-    The first line of each file is cut out JVM-side; only file paths and
-    header strings (metadata, one row per file) reach the driver.
-    """
-    heads = (
-        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-        .select(F.col("_metadata.file_path").alias("f"), F.substring_index("value", "\n", 1).alias("h"))
-        .filter(F.col("f").endswith(".csv"))
-        .collect()
-    )
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in heads:
-        names = tuple(c.strip().strip('"').strip("\ufeff") for c in row.h.rstrip("\r").split(","))
-        layouts.setdefault(names, []).append(row.f)
-    return layouts
 
+def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
+    """SRC8: every transcript CSV under ``path`` (header, quoted multi-line
+    text), by header name, plus ``source_file``.
 
-def _transcript_reader(spark: SparkSession, schema: T.StructType):
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
+    Files may differ in column order and in extra columns.  The ticker is a
+    column of the file, or its ``ticker=<T>`` folder as ``write_transcripts``
+    leaves it.  A file without the expected header fails the read, naming the
+    file; nothing is skipped.
+    """
+    raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(_MOST_COLUMNS)])
+    raw = (
+        spark.read.schema(raw_schema)
+        .option("header", False)
         .option("multiLine", True)
         .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("ignoreCorruptFiles", True)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .csv(path)
     )
-
-
-def read_transcripts(spark: SparkSession, path: str, partitioned: bool = True, align_headers: bool = False) -> DataFrame:
-    """SRC8: every transcript CSV under ``path`` (header, quoted multi-line
-    text) plus ``source_file``.
-
-    ``partitioned``: files written by ``sinks.write_transcripts`` keep the
-    ticker in a ``ticker=<T>`` directory; otherwise each file carries a
-    ticker column.  ``enforceSchema=false`` makes a file whose header differs
-    from the schema fail instead of being read by position; unreadable files
-    are skipped (``ignoreCorruptFiles``).  ``align_headers``: files whose
-    columns come in another order are read per header layout and combined
-    by column name (as a by-name concatenation would), instead of failing.
-    """
-    if align_headers:
-        return _read_transcripts_by_layout(spark, path, partitioned)
-    schema = T.StructType(TRANSCRIPT_FIELDS if partitioned else TRANSCRIPT_SCHEMA_FLAT.fields)
-    if partitioned:
-        schema = T.StructType(schema.fields + [T.StructField("ticker", T.StringType())])
-    df = _transcript_reader(spark, schema).csv(path)
-    return df.select(
-        "ticker", "year", "quarter", "transcriptID", "transcript", "date",
-        F.col("_metadata.file_name").alias("source_file"),
+    cells = F.array(*[F.col(f.name) for f in raw_schema])
+    raw = raw.select(F.col("_metadata.file_path").alias("_file"), cells.alias("_cells"))
+    names = F.transform("_cells", lambda c: F.regexp_replace(F.trim(c), "\ufeff", ""))
+    needed = F.array(*[F.lit(f.name) for f in TRANSCRIPT_FIELDS])
+    is_header = F.size(F.array_intersect(names, needed)) == len(TRANSCRIPT_FIELDS)
+    # One row of names per file: the small side of the join, sized by Spark.
+    headers = raw.filter(is_header).groupBy("_file").agg(F.first(names).alias("_names"))
+    rows = raw.filter(~is_header).join(headers, "_file", "left")
+    missing = F.raise_error(F.concat(F.lit("no transcript header in "), F.col("_file"))).cast("int")
+
+    def cell(name: str) -> Column:
+        at = F.when(F.col("_names").isNull(), missing).otherwise(F.array_position("_names", name).cast("int"))
+        return F.get("_cells", F.nullif(at, F.lit(0)) - 1)
+
+    folder = F.nullif(F.regexp_extract("_file", r"ticker=([^/]+)/", 1), F.lit(""))
+    typed = [cell(f.name).cast(f.dataType).alias(f.name) for f in TRANSCRIPT_FIELDS]
+    return rows.select(
+        F.coalesce(cell("ticker"), folder).alias("ticker"), *typed, F.regexp_extract("_file", r"([^/]+)$", 1).alias("source_file")
     )
 
 
-def _read_transcripts_by_layout(spark: SparkSession, path: str, partitioned: bool) -> DataFrame:
-    types = {f.name: f.dataType for f in TRANSCRIPT_SCHEMA_FLAT.fields}
-    parts = []
-    for names, files in csv_header_layouts(spark, path).items():
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = _transcript_reader(spark, schema).option("basePath", path).csv(files)
-        cols = [F.col(f"`{n}`").cast(types.get(n, T.StringType())).alias(n) for n in names]
-        if partitioned and "ticker" not in names:
-            cols.append(F.regexp_extract(F.col("_metadata.file_path"), r"ticker=([^/]+)", 1).alias("ticker"))
-        parts.append(df.select(*cols, F.col("_metadata.file_name").alias("source_file")))
-    if not parts:
-        return spark.createDataFrame([], T.StructType(TRANSCRIPT_SCHEMA_FLAT.fields + [T.StructField("source_file", T.StringType())]))
-    out = union_all_by_name(*parts)
-    return out.select("ticker", "year", "quarter", "transcriptID", "transcript", "date", "source_file")
-
-
 # SRC9 -----------------------------------------------------------------------
 def read_price_change_dim(spark: SparkSession, path: str) -> DataFrame:
     """SRC9: the static price-change dimension; the UTF-8 BOM is dropped by
@@ -144,8 +118,10 @@ def lookup_cik(
     pad: bool = True,
 ) -> DataFrame:
     """SRC10: CIK of each ticker from the ticker list; a ticker listed twice
-    takes the smallest CIK (a deterministic first match)."""
-    first = ticker_list.groupBy(F.col("ticker").alias("_lt")).agg(F.min("cik_str").alias("_cik"))
+    takes its first entry (``list_pos``; of a list without positions, the
+    smallest CIK)."""
+    first = F.min_by("cik_str", "list_pos") if "list_pos" in ticker_list.columns else F.min("cik_str")
+    first = ticker_list.groupBy(F.col("ticker").alias("_lt")).agg(first.alias("_cik"))
     cik = pad_cik(F.col("_cik")) if pad else F.col("_cik").cast("string")
     joined = df.join(first, F.col(ticker_col) == F.col("_lt"), "left")
     return joined.withColumn(out_col, cik).drop("_lt", "_cik")
@@ -165,12 +141,14 @@ def read_prices(
     The ticker list prunes partitions and the date bounds ([start, end),
     end exclusive) are pushed to the Parquet scan.  ``years`` without bounds
     is the default range of the original download (SCL15: the last
-    366 * years days up to today).  A missing table gives an empty frame, as
-    the original download did on error.
+    366 * years days up to today).  An absent path gives an empty frame, as
+    the original download did; any other error is raised.
     """
     try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - an absent landing table is "no prices"
+        df = spark.read.schema(PRICE_BARS_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], PRICE_BARS_SCHEMA)
     if tickers is not None:
         df = keep_members(df, "ticker", list(tickers))

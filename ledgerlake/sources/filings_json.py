@@ -127,8 +127,9 @@ def _with_ticker(schema: T.StructType) -> T.StructType:
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One JSON document per file; a ``ticker=`` directory level becomes a column."""
-    return spark.read.schema(_with_ticker(schema)).option("multiLine", True).json(path)
+    """One JSON document per file; a ``ticker=`` directory level becomes a
+    column.  A truncated or malformed document fails the read, naming its file."""
+    return spark.read.schema(_with_ticker(schema)).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def explode_parallel(df: DataFrame, keep: list[str], arrays: list[str], pos_col: str | None = None) -> DataFrame:
@@ -208,10 +209,11 @@ def read_filings(spark: SparkSession, path: str) -> DataFrame:
 # SRC3 -----------------------------------------------------------------------
 def read_ticker_list(spark: SparkSession, path: str) -> DataFrame:
     """SRC3: the exchange ticker list (an object of objects) -> cik_str,
-    ticker, title, cik10D."""
+    ticker, title, cik10D and the position in the list."""
     text = spark.read.text(path, wholetext=True)
-    entries = text.select(F.explode(F.map_values(F.from_json("value", TICKER_LIST_SCHEMA))).alias("e"))
-    return entries.select("e.cik_str", "e.ticker", "e.title", pad_cik(F.col("e.cik_str")).alias("cik10D"))
+    listed = F.map_values(F.from_json("value", TICKER_LIST_SCHEMA, {"mode": "FAILFAST"}))
+    entries = text.select(F.posexplode(listed).alias("list_pos", "e"))
+    return entries.select("e.cik_str", "e.ticker", "e.title", pad_cik(F.col("e.cik_str")).alias("cik10D"), "list_pos")
 
 
 # SRC4 -----------------------------------------------------------------------

@@ -146,6 +146,11 @@ def test_softmax_margin(spark):
     assert got == pytest.approx((e[0] - e[1]) / sum(e))
 
 
+def test_softmax_margin_of_large_logits(spark):
+    df = spark.createDataFrame([([800.0, 1.0, 0.0],)], "l array<double>")
+    assert df.select(softmax_margin("l")).first()[0] == pytest.approx(1.0)
+
+
 def test_sentiment_with_injected_scorer(spark):
     """The injected scorer runs in an iterator pandas UDF; blank text stays 0.0."""
 
@@ -157,20 +162,3 @@ def test_sentiment_with_injected_scorer(spark):
     e = [math.exp(3.0), 1.0, 1.0]
     assert out[0].SentimentScore == pytest.approx((e[0] - e[1]) / sum(e))
     assert out[1].SentimentScore == 0.0
-
-
-def test_encode_batch_truncates_and_pads(tmp_path):
-    from tokenizers import Tokenizer
-    from tokenizers.models import WordLevel
-    from tokenizers.pre_tokenizers import Whitespace
-
-    from ledgerlake.functions.models import encode_batch
-
-    vocab = {"[UNK]": 0, "[PAD]": 1, "strong": 2, "growth": 3, "risk": 4}
-    tok = Tokenizer(WordLevel(vocab, unk_token="[UNK]"))
-    tok.pre_tokenizer = Whitespace()
-    path = tmp_path / "tokenizer.json"
-    tok.save(str(path))
-    ids, mask = encode_batch(Tokenizer.from_file(str(path)), ["strong growth risk risk risk", "risk"], max_length=3)
-    assert ids.shape == (2, 3) and ids[0].tolist() == [2, 3, 4]
-    assert mask.tolist() == [[1, 1, 1], [1, 0, 0]]

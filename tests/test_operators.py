@@ -236,3 +236,15 @@ def test_raw_tag_prefilter_equals_rollup_then_filter(spark):
     slow = keep_canonical(map_tags(df))
     fast = keep_rollup_canonical(df)
     assert sorted(slow.collect()) == sorted(fast.collect())
+
+
+def test_decumulate_keeps_shared_submissions_apart(spark):
+    """Two tickers' lists hold the same filings: one list follows the other."""
+    rows = [(t, "G", p, period, float(v), "2024-01-01", "2024-01-01", f"a{p}")
+            for t in ("GOOG", "GOOGL") for p, period, v in ((0, "Q3", 60), (1, "Q2", 30), (2, "Q1", 10))]
+    df = spark.createDataFrame(
+        rows, "filing_ticker string, ticker string, filing_pos int, financialPeriod string, NetIncome double, filingDate string, endDate string, accessionNumber string"
+    )
+    for bucket in ("auto", None):
+        out = decumulate(df, value_cols=["NetIncome"], bucket=bucket).where("financialPeriod <> 'Q1'").collect()
+        assert sorted(r.NetIncome for r in out) == [20.0, 20.0, 30.0, 30.0]

@@ -30,16 +30,3 @@ def test_materialize_writes_into_checkpoint_dir(spark):
     files = out.inputFiles()
     assert files and all(root.rstrip("/") in f for f in files)
     assert "LogicalRDD" not in out._jdf.queryExecution().analyzed().toString()
-    assert os.path.isdir(root)
-
-
-def test_ensure_parallelism_only_spreads_narrow_scans(spark, tmp_path):
-    from ledgerlake.session import ensure_parallelism
-
-    path = str(tmp_path / "one")
-    spark.range(100).coalesce(1).write.parquet(path)
-    narrow = spark.read.parquet(path)
-    spread = ensure_parallelism(narrow, 4)
-    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 100
-    wide = spark.range(0, 100, 1, 8)
-    assert ensure_parallelism(wide, 4) is wide

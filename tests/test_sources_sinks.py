@@ -6,6 +6,8 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 
 from ledgerlake.plans.dims import calendar_dimension, company_dimension, industry_dimension, price_change_dimension, price_profile
 from ledgerlake.plans.filings import build_filings_fact, run_filings_job
@@ -253,6 +255,52 @@ def test_transcripts_header_layouts_combined_by_name(spark, scratch):
     d = f"{scratch}/mixed"
     _write(f"{d}/a.csv", 'ticker,year,quarter,transcriptID,transcript,date\nAAA,2024,1,2024-Q1-AAA,"one, two",2024-04-30\n')
     _write(f"{d}/b.csv", 'transcript,date,ticker,quarter,year,transcriptID\n"three\nfour",2024-07-30,BBB,2,2024,2024-Q2-BBB\n')
-    rows = {r.ticker: r for r in read_transcripts(spark, d, partitioned=False, align_headers=True).collect()}
+    rows = {r.ticker: r for r in read_transcripts(spark, d).collect()}
     assert rows["AAA"].transcript == "one, two" and rows["AAA"].year == 2024
     assert rows["BBB"].transcript == "three\nfour" and rows["BBB"].quarter == 2 and rows["BBB"].source_file == "b.csv"
+
+
+def test_transcripts_flat_file_of_the_original_shape(spark, scratch):
+    d = f"{scratch}/flat"
+    _write(f"{d}/a.csv", 'ticker,year,quarter,transcriptID,transcript,date\nAAA,2024,1,2024-Q1-AAA,"one\ntwo",2024-04-30\n')
+    rows = read_transcripts(spark, d).collect()
+    assert [(r.ticker, r.year, r.transcript, r.source_file) for r in rows] == [("AAA", 2024, "one\ntwo", "a.csv")]
+
+
+def test_transcripts_without_header_fail(spark, scratch):
+    d = f"{scratch}/bare"
+    _write(f"{d}/a.csv", 'AAA,2024,1,2024-Q1-AAA,"one",2024-04-30\n')
+    with pytest.raises(Exception, match="no transcript header"):
+        read_transcripts(spark, d).collect()
+
+
+def test_truncated_json_is_reported(spark, scratch):
+    _write(f"{scratch}/sub/ticker=T/a.json", '{"cik": "1", "filings": {"recent": {"accessionNumber": ["x"')
+    with pytest.raises(Exception, match="a.json|MALFORMED"):
+        read_filings(spark, f"{scratch}/sub").collect()
+
+
+def test_price_tickers_stay_text(spark, scratch):
+    df = spark.createDataFrame([("0700", 1.0), ("0005", 2.0)], "ticker string, Close double")
+    df.write.partitionBy("ticker").parquet(f"{scratch}/px")
+    assert {r.ticker for r in read_prices(spark, f"{scratch}/px").collect()} == {"0700", "0005"}
+
+
+def test_lookup_takes_the_first_entry(spark, scratch):
+    _write(f"{scratch}/t.json", '{"0": {"cik_str": 9, "ticker": "A", "title": "x"}, "1": {"cik_str": 3, "ticker": "A", "title": "y"}}')
+    out = lookup_cik(spark.createDataFrame([("A",)], "ticker string"), read_ticker_list(spark, f"{scratch}/t.json")).first()
+    assert out.cik10D == "0000000009"
+
+
+def test_stream_fails_on_reordered_header(spark, scratch):
+    land = f"{scratch}/land"
+    _write(f"{land}/a.csv", 'year,ticker,quarter,transcriptID,transcript,date\n2024,T,1,2024-Q1-T,"x",2024-04-30\n')
+    with pytest.raises(Exception):
+        transcript_measures_stream(spark, land, f"{scratch}/out", checkpoint=f"{scratch}/ckpt").awaitTermination()
+
+
+def test_transcript_white_space_survives(spark, scratch):
+    df = spark.createDataFrame([("T", 2024, 1, "2024-Q1-T", "  padded ", "2024-04-30")],
+                               "ticker string, year int, quarter int, transcriptID string, transcript string, date string")
+    write_transcripts(df, f"{scratch}/tr")
+    assert read_transcripts(spark, f"{scratch}/tr").first().transcript == "  padded "
