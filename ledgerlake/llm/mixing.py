@@ -10,7 +10,8 @@ Nothing is sorted; the final step is a filter.
 
 The document at the border may not fit.  It is then left out, and the gap is
 offered to the documents behind it that do fit (a second threshold nested
-behind the first, and so on), so the mix ends within a few words of its target.
+behind the first, and so on), then to further copies of documents that fit, so
+the mix ends within a few words of its target.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 BITS, HALF = 10, 6  # a key is two numbers of 6 digits of 10 bits each
 LEVELS = 2 * HALF
-PASSES = 4
+PASSES = 8
 #: A mix is over named sources; more than this is refused, since one row per
 #: source is held by the driver and broadcast.
 MOST_SOURCES = 100_000
@@ -83,14 +84,17 @@ def budgets(rows: DataFrame, weights: tuple, most: int) -> DataFrame:
     gaps = [int(g) - w * r["n"] for r, g, w in zip(sums, goals, whole)]
     names, takes = [r["source"] for r in sums], [[] for _ in sums]
     low = [(0, 0)] * len(sums)
+    laps = [most - w for w in whole]  # times that a document can be taken once more
     for _ in range(PASSES):
-        open_ = [i for i, gap in enumerate(gaps) if gap > 0 and low[i] is not None]
+        open_ = [i for i, gap in enumerate(gaps) if gap > 0 and laps[i] > 0]
         if not open_:
             break
         for i, (used, high, behind) in _thresholds(rows, names, open_, gaps, low).items():
             takes[i].append((*low[i], *high, gaps[i]))
             gaps[i] -= used
-            low[i] = behind
+            if behind is None:  # nothing more fits in this lap; if nothing did in a whole lap, nothing will
+                laps[i] = laps[i] - 1 if used or low[i] != (0, 0) else 0
+            low[i] = behind or (0, 0)
     table = [(n, r["n"], float(g), w, t) for n, r, g, w, t in zip(names, sums, goals, whole, takes)]
     interval = "array<struct<k:bigint,k2:bigint,to_k:bigint,to_k2:bigint,most:bigint>>"
     return spark.createDataFrame(table, f"name string, source_size bigint, target double, whole int, takes {interval}")
@@ -157,7 +161,7 @@ def take(rows: DataFrame, table: DataFrame) -> DataFrame:
         return above & below & (F.col("size") <= t["most"])
 
     out = rows.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name")), "left")
-    out = out.withColumn("copies", F.col("whole") + F.exists("takes", inside).cast("int"))
+    out = out.withColumn("copies", F.col("whole") + F.size(F.filter("takes", inside)))
     return out.drop("name", "whole", "takes")
 
 
