@@ -23,10 +23,12 @@ pair whose documents are already connected is never built:
    the bucket's largest component against the others.
 
 The last round would meet every outlier of a large group with the whole group.
-An exact bound rules nearly all of that out before any pair is built: with
-``p`` shingles of a set that no other set of the round holds, two sets share at
-most m = min(n1 - p1, n2 - p2) shingles, so their similarity is at most
-m / (n1 + n2 - m).
+An exact split avoids that.  In a cluster (nodes connected by buckets) of more
+than ``2 * RARE`` nodes, a shingle is rare if at most ``RARE`` of them hold it.
+Two sets that share a rare shingle meet by that shingle.  Two that share none
+share at most m = min(n1 - r1, n2 - r2) shingles (r: rare ones of a set), so
+their similarity is at most m / (n1 + n2 - m), and a pair is built only where
+this reaches the threshold.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ from ledgerlake.llm.common import GRAPH_WORD, Bloom, bloom_of, keep, load, mix,
 from ledgerlake.llm.graph import components
 
 BANDS, ROWS, SHARED = 52, 5, 3
+RARE = 64
 BLOOM_BITS = 26
 
 
@@ -268,12 +271,23 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     largest = groups.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
     largest = largest.where("comps > 1").select("key", F.col("top.comp").alias("top"))
     mixed = keep(inside.join(largest, "key").withColumn("main", F.col("comp") == F.col("top")).drop("top"), "mixed-buckets")
-    items = sets.join(mixed.select("nid").distinct(), "nid", "left_semi").select("nid", F.explode("items").alias("item"))
-    owned = items.groupBy("item").agg(F.min("nid").alias("nid"), F.count("*").alias("c")).where("c = 1")
-    owned = owned.groupBy("nid").agg(F.count("*").alias("p"))
-    # "most": shingles that any other set can share.
-    mixed = mixed.join(owned, "nid", "left").withColumn("most", F.col("n") - F.coalesce("p", F.lit(0)))
+    stars = mixed.join(mixed.groupBy("key").agg(F.min("nid").alias("b")), "key").select(F.col("nid").alias("a"), "b")
+    clusters = components(stars.distinct()).select(F.col("node").alias("nid"), F.col("comp").alias("cluster"))
+    wide = clusters.groupBy("cluster").agg(F.count("*").alias("nodes")).where(F.col("nodes") > 2 * RARE).select("cluster")
+    crowd = keep(mixed.select("nid", "n", "comp").distinct().join(clusters, "nid").join(wide, "cluster"), "wide-clusters")
+    items = sets.join(crowd, "nid").select("cluster", "nid", "n", "comp", F.explode("items").alias("item"))
+    rare = items.groupBy("cluster", "item").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
+    owned = keep(items.join(rare, ["cluster", "item"]), "rare-shingles")
+    few_shared = owned.groupBy("nid").agg(F.count("*").alias("r"))
+    # "most": shingles that a set can share without sharing a rare one.
+    mixed = mixed.join(few_shared, "nid", "left").withColumn("most", F.col("n") - F.coalesce("r", F.lit(0)))
     mixed = keep(mixed.where(F.col("most") * 100 >= F.col("n") * percent), "mixed-buckets")
+    held = owned.where("c > 1")
+    held = held.select("cluster", "item", *[F.col(c).alias("a_" + c) for c in ("nid", "n", "comp")]).join(
+        held.select("cluster", "item", *[F.col(c).alias("b_" + c) for c in ("nid", "n", "comp")]), ["cluster", "item"]
+    )
+    held = held.where((F.col("a_nid") < F.col("b_nid")) & (F.col("a_comp") != F.col("b_comp")) & alike("a_n", "b_n"))
+    held = held.select(F.col("a_nid").alias("a"), F.col("b_nid").alias("b"))
 
     def named(side: str) -> list[Column]:
         return [F.col(c).alias(side + c) for c in ("nid", "n", "most", "comp", "main")]
@@ -285,7 +299,7 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     apart = apart & (most * 100 >= (F.col("a_n") + F.col("b_n") - most) * percent)
     pairs = few.join(every, "key").where(apart).select(F.least("a_nid", "b_nid").alias("a"), F.greatest("a_nid", "b_nid").alias("b"))
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("c")).where(F.col("c") >= shared).select("a", "b")
-    last = confirm(pairs)
+    last = confirm(pairs.unionAll(held).distinct())
     if last.isEmpty():
         return comps
     return components(links.unionAll(last))
