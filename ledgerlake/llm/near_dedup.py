@@ -276,13 +276,15 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     wide = clusters.groupBy("cluster").agg(F.count("*").alias("nodes")).where(F.col("nodes") > 2 * RARE).select("cluster")
     crowd = keep(mixed.select("nid", "n", "comp").distinct().join(clusters, "nid").join(wide, "cluster"), "wide-clusters")
     items = sets.join(crowd, "nid").select("cluster", "nid", "n", "comp", F.explode("items").alias("item"))
-    rare = items.groupBy("cluster", "item").agg(F.count("*").alias("c")).where(F.col("c") <= RARE)
-    owned = keep(items.join(rare, ["cluster", "item"]), "rare-shingles")
-    few_shared = owned.groupBy("nid").agg(F.count("*").alias("r"))
+    counts = keep(
+        items.groupBy("cluster", "item").agg(F.count("*").alias("c"), F.min("nid").alias("nid")).where(F.col("c") <= RARE), "rare-counts"
+    )
+    # A shingle of one set needs no join; those of two to RARE sets do.
+    held = keep(items.join(counts.where("c > 1").select("cluster", "item"), ["cluster", "item"]), "rare-shingles")
+    few_shared = held.select("nid").unionAll(counts.where("c = 1").select("nid")).groupBy("nid").agg(F.count("*").alias("r"))
     # "most": shingles that a set can share without sharing a rare one.
     mixed = mixed.join(few_shared, "nid", "left").withColumn("most", F.col("n") - F.coalesce("r", F.lit(0)))
     mixed = keep(mixed.where(F.col("most") * 100 >= F.col("n") * percent), "mixed-buckets")
-    held = owned.where("c > 1")
     held = held.select("cluster", "item", *[F.col(c).alias("a_" + c) for c in ("nid", "n", "comp")]).join(
         held.select("cluster", "item", *[F.col(c).alias("b_" + c) for c in ("nid", "n", "comp")]), ["cluster", "item"]
     )
