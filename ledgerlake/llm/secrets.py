@@ -26,8 +26,6 @@ HEX = "[0-9a-f]{24,}"
 LEAST = 20
 RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 KINDS = ("assign", "access", "hex", "markov")
-#: Training documents, about, at most; drawn by a hash of the text.
-SAMPLE = 20_000
 THRESHOLD = 1.7
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzA0+"
 
@@ -64,14 +62,12 @@ def base_spans(text: Column) -> list[Column]:
     return [assign, access, long_hex]
 
 
-def labelled_samples(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(sample, random): values with a key's form or behind a credential name
-    are random strings; words of letters, joined in pairs to identifiers, are
-    ordinary.  From about ``sample`` documents at most."""
+def labelled_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(sample, random, n): values with a key's form or behind a credential
+    name are random strings; words of letters and underscores, identifiers among
+    them, are ordinary.  n is the number of documents (rows) that hold the sample,
+    over all documents; equal samples are summed before they are shuffled."""
     text = text_or_empty(text_col)
-    total = docs.count()
-    if total > sample:
-        docs = docs.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(1_000_000 * sample / total))
     _assign, access, long_hex = base_spans(text)
     value = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     secret = F.concat(F.transform(access, lambda s: s["hit"]), F.transform(long_hex, lambda s: s["hit"]))
@@ -80,7 +76,7 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", sample: int = SAMP
     made = F.array(F.struct(F.array_union(secret, keyed).alias("all"), F.lit(True).alias("random")),
                    F.struct(F.array_distinct(words).alias("all"), F.lit(False).alias("random")))
     pairs = docs.select(F.explode(made).alias("m"))
-    return pairs.select(F.explode("m.all").alias("sample"), "m.random")
+    return pairs.select(F.explode("m.all").alias("sample"), "m.random").groupBy("sample", "random").agg(F.count("*").alias("n"))
 
 
 def train_models(samples: DataFrame) -> dict[str, float]:
@@ -90,8 +86,8 @@ def train_models(samples: DataFrame) -> dict[str, float]:
     random strings they count as uniform over keys of letters and digits."""
     folded = _folded(F.col("sample"))
     pairs = F.transform(F.sequence(F.lit(1), F.length("f") - 1), lambda i: F.substring(F.col("f"), i, F.lit(2)))
-    rows = samples.select("random", folded.alias("f")).where(F.length("f") >= 2).select("random", F.explode(pairs).alias("pair"))
-    counted = {(r["random"], r["pair"]): r["n"] for r in rows.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}
+    rows = samples.select("random", folded.alias("f"), "n").where(F.length("f") >= 2).select("random", F.explode(pairs).alias("pair"), "n")
+    counted = {(r["random"], r["pair"]): r["n"] for r in rows.groupBy("random", "pair").agg(F.sum("n").alias("n")).collect()}
     wide = {"A": 26.0, "0": 10.0, "+": 2.0}  # characters behind a symbol
 
     def logs(random: bool) -> dict[str, float]:

@@ -32,6 +32,19 @@ def test_secret_base_spans(spark, duck):
     assert secrets.scan(df.limit(0), ratios).count() == 0
 
 
+def test_markov_samples_cover_all_documents(spark, duck):
+    """Counts of samples against a plain count over every text."""
+    from collections import Counter
+
+    texts = [t or "" for (t,) in duck.sql("SELECT text FROM documents").fetchall()]
+    want = Counter(w for t in texts for w in set(re.findall("[A-Za-z_]{3,40}", t)))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for times in (1, 2):
+        more = docs if times == 1 else docs.unionAll(docs)
+        got = {r["sample"]: r["n"] for r in secrets.labelled_samples(more).where("not random").collect()}
+        assert got == {w: n * times for w, n in want.items()}
+
+
 def test_markov_models_tell_keys_from_identifiers(spark, duck):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     ratios = secrets.train_models(secrets.labelled_samples(docs))
