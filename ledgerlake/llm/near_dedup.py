@@ -148,7 +148,7 @@ def _set_pass(size: int, bloom, bits: int):
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for low, _high, raw, offsets in text_slices(batch.column(1), 1 << 21):
-                cls, full = [], []
+                cls, own, full = [], [], []
                 sets = shingle_sets(raw, offsets, size)
                 made = [_class_and_key(s, ids[low + i]) if len(s) else (b"", 0) for i, s in enumerate(sets)]
                 ok = known.has(np.array([k for _, k in made], np.int64).view(np.uint64))
@@ -157,9 +157,10 @@ def _set_pass(size: int, bloom, bits: int):
                         seen = seen if len(seen) < 100_000 else set()
                         seen.add(made[i])
                         cls.append(made[i][0])
+                        own.append(made[i][1])
                         full.append(sets[i].view(np.int64))
                 listed = pa.array(full, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), listed], names=["cls", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(cls, pa.binary()), pa.array(own, pa.int64()), listed], names=["cls", "own", "items"])
 
     return run
 
@@ -234,9 +235,12 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     """(node, comp) of all nodes that have a confirmed link."""
     wanted = classes.join(members.select("nid").distinct(), "nid", "left_semi")
     bloom = bloom_of(wanted, "own", bloom_bits)
-    sets = docs.select(id_col, text_col).mapInArrow(_set_pass(size, bloom, bloom_bits), "cls binary, items array<bigint>")
-    # The filter lets a few others pass; the join with the class keeps the right ones.
-    sets = keep(sets.join(classes.select("cls", "nid"), "cls").select("nid", "items"), "sets")
+    sets = docs.select(id_col, text_col).mapInArrow(_set_pass(size, bloom, bloom_bits), "cls binary, own bigint, items array<bigint>")
+    # The filter lets a few others pass; the join with the document that stands
+    # for the class keeps the right ones.  Rows that repeat this document pass
+    # in every task that meets them; the counts below need one row a node.
+    sets = sets.join(classes.select("cls", "own", "nid"), ["cls", "own"]).dropDuplicates(["cls", "own"])
+    sets = keep(sets.select("nid", "items"), "sets")
     sizes = classes.select("nid", "n")
 
     def confirm(pairs: DataFrame) -> DataFrame:

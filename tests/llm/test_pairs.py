@@ -64,6 +64,31 @@ def test_near_duplicates_against_brute_force(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(sets[i]), comp[i]) for i in range(len(texts))}
 
 
+def test_near_duplicates_of_a_wide_cluster_with_repeated_rows(spark):
+    """Pairs of the last round that share no rare word, with rows that repeat
+    an id and text, copies under other ids, and a filter that lets all pass."""
+    random.seed(6)
+    pool = [f"c{i}" for i in range(105)]
+    sets = [set(random.sample(pool, 90)) | {f"p{i}_{j}" for j in range(10)} for i in range(400)]
+    for i in range(190, 202, 2):  # twins: the same common words, other private ones
+        sets[i + 1] = {w for w in sets[i] if w[0] == "c"} | {f"p{i + 1}_{j}" for j in range(10)}
+    comp = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 100 * len(x & sets[j]) >= 80 * len(x | sets[j]):
+                a, b = comp[i], comp[j]
+                comp = [min(a, b) if c in (a, b) else c for c in comp]
+    assert all(comp[i + 1] == i for i in range(190, 202, 2))
+    rows = [(i, " ".join(sorted(s))) for i, s in enumerate(sets)]
+    copies = [(1000 + i, t) for i, t in rows[190:196]]
+    # Slices of one table, so repeated rows stand in other tasks than their first.
+    df = spark.createDataFrame(spark.sparkContext.parallelize([*rows, *rows[196:202], *rows[196:202], *copies], 4), "doc_id bigint, text string")
+    assert df.rdd.getNumPartitions() == 4
+    got = near_dedup.near_duplicates(df, size=1, bloom_bits=6).collect()
+    assert len(got) == 418
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, comp[i % 1000 if i >= 1000 else i]) for i in [*range(400), *range(1190, 1196)]}
+
+
 def test_near_duplicates_edge_rows(spark, docs):
     rows = near_dedup.near_duplicates(docs, size=2).collect()
     by = {(r.doc_id, r.n_shingles): r for r in rows}
