@@ -1,18 +1,23 @@
 """Personal data by bootstrapped contextual extraction (operator 9).
 
 Patterns for e-mail, IP address, card and phone numbers give the base spans,
-which are the seed entities.  The two words before and the two words after a
-seed are lexical patterns.  Patterns and instances (seeds and other strings
-that look like identifiers) form a graph that Spark scores in turns:
+which are the seed entities.  The one word and the two words before, and the
+one word and the two words after a seed are lexical patterns.  Patterns and
+instances (seeds and other strings that look like identifiers) form a graph
+that Spark scores in turns:
 
 * a pattern's score is the share of all its occurrences in the corpus that
   hold a trusted instance, weighted by the instances' scores;
 * an instance's score is 1 for seeds, else 1 - prod(1 - score) over the
-  patterns around it, so several weak contexts add up.
-
-Instances that reach ``TRUST`` through patterns with enough different seeds
-become spans of the kind ``context``.  How often a pattern occurs is counted
-over the whole corpus, so a common pair of words never becomes a pattern.
+  patterns around it, so several weak contexts add up.  A one-word pattern and
+  the two-word patterns that contain it are one piece of evidence: the
+  stronger of both counts.
+
+Only patterns with enough different trusted instances have a say.  Instances
+that reach ``TRUST`` count like seeds in the next round, where they can make
+further patterns, until no new instance appears; they become spans of the
+kind ``context``.  How often a pattern occurs is counted over the whole
+corpus, so common words never become a pattern.
 """
 
 from __future__ import annotations
@@ -26,7 +31,8 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import GRAPH_WORD, Bloom, bloom_of, keep, load, mix, text_slices, word_hashes, words_in_rows
 
 KINDS = ("email", "ip", "card", "phone", "context")
-#: Different seeds a pattern needs, score an instance needs, rounds of scoring.
+#: Different trusted instances a pattern needs, score an instance needs, turns
+#: of scoring in a round.
 SUPPORT, TRUST, ROUNDS = 3, 0.6, 3
 BLOOM_BITS = 24
 
@@ -101,17 +107,19 @@ def identifiers(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
 
 
 def _pairs(raw: np.ndarray, offsets: np.ndarray):
-    """Words of a slice and the hash of each pair of neighbours in one row."""
+    """Words of a slice, the hash of each and of each pair of neighbours."""
     starts, ends, first = words_in_rows(raw, offsets, GRAPH_WORD)
     words = word_hashes(raw, starts, ends)
     pairs = mix(words[:-1] * np.uint64(0xD6E8FEB86659FD93) + words[1:]) if len(words) > 1 else words[:0]
-    return starts, ends, first, pairs
+    return starts, ends, first, words, pairs
 
 
 _SIDES = (np.uint64(0x632BE59BD9B4E019), np.uint64(0x9E3779B97F4A7C15))  # before, after
 
 SPAN = "struct<start:int,kind:int,end:int>"
-FOUND = f"base array<{SPAN}>, cands array<struct<start:int,end:int,value:string,seed:boolean,patterns:array<bigint>>>"
+#: A pattern and the one-word pattern it contains (itself, if it is one).
+AROUND = "struct<pattern:bigint,word:bigint>"
+FOUND = f"base array<{SPAN}>, cands array<struct<start:int,end:int,value:string,seed:boolean,patterns:array<{AROUND}>>>"
 
 
 def _extract(batches):
@@ -119,7 +127,8 @@ def _extract(batches):
     import pyarrow as pa
 
     span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-    cand = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("seed", pa.bool_()), ("patterns", pa.list_(pa.int64()))])
+    pattern = pa.struct([("pattern", pa.int64()), ("word", pa.int64())])
+    cand = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("seed", pa.bool_()), ("patterns", pa.list_(pattern))])
     for batch in batches:
         for low, high, raw, offsets in text_slices(batch.column(1)):
             rows = high - low
@@ -127,7 +136,8 @@ def _extract(batches):
             hinted = np.flatnonzero(hint[offsets[1:]] > hint[offsets[:-1]])
             base, cands = [[] for _ in range(rows)], [[] for _ in range(rows)]
             if len(hinted):
-                starts, _, first, pairs = _pairs(raw, offsets)
+                starts, _, first, words, pairs = _pairs(raw, offsets)
+                words, pairs = [(words ^ x).view(np.int64) for x in _SIDES], [(pairs ^ x).view(np.int64) for x in _SIDES]
             for i in hinted.tolist():
                 text = raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace")
                 found = base_spans(text)
@@ -139,19 +149,24 @@ def _extract(batches):
                     left = int(np.searchsorted(starts, at, side="right")) - 1
                     right = int(np.searchsorted(starts, to, side="right")) - 1
                     around = []
-                    if left - 2 >= first[i]:
-                        around.append(pairs[left - 2 : left - 1] ^ _SIDES[0])
-                    if right + 2 < first[i + 1]:
-                        around.append(pairs[right + 1 : right + 2] ^ _SIDES[1])
-                    keys = [int(p.view(np.int64)[0]) for p in around]
-                    cands[i].append({"start": a, "end": b, "value": text[a:b].lower(), "seed": seed, "patterns": keys})
+                    if left - 1 >= first[i]:
+                        word = int(words[0][left - 1])
+                        around.append({"pattern": word, "word": word})
+                        if left - 2 >= first[i]:
+                            around.append({"pattern": int(pairs[0][left - 2]), "word": word})
+                    if right + 1 < first[i + 1]:
+                        word = int(words[1][right + 1])
+                        around.append({"pattern": word, "word": word})
+                        if right + 2 < first[i + 1]:
+                            around.append({"pattern": int(pairs[1][right + 1]), "word": word})
+                    cands[i].append({"start": a, "end": b, "value": text[a:b].lower(), "seed": seed, "patterns": around})
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(low, rows), pa.array(base, pa.list_(span)), pa.array(cands, pa.list_(cand))], names=["row", "base", "cands"]
             )
 
 
 def _occurrences(bloom, bits: int):
-    """How often the known patterns occur, as pairs of words anywhere."""
+    """How often the known patterns occur, as words or pairs of words anywhere."""
 
     def run(batches):
         import pyarrow as pa
@@ -159,34 +174,58 @@ def _occurrences(bloom, bits: int):
         known = Bloom(bits, bloom.value)
         for batch in batches:
             for _, _, raw, offsets in text_slices(batch.column(0)):
-                _, _, first, pairs = _pairs(raw, offsets)
+                _, _, first, words, pairs = _pairs(raw, offsets)
                 inside = np.ones(len(pairs), bool)
                 cut = first[1:-1] - 1
                 inside[cut[(cut >= 0) & (cut < len(pairs))]] = False
+                words, often = np.unique(words, return_counts=True)
                 for side in _SIDES:
                     keys = pairs[inside] ^ side
                     keys, times = np.unique(keys[known.has(keys)], return_counts=True)
+                    single = known.has(words ^ side)
+                    keys, times = np.concatenate([keys, words[single] ^ side]), np.concatenate([times, often[single]])
                     yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(times.astype(np.int64))], names=["pattern", "n"])
 
     return run
 
 
-def score_graph(edges: DataFrame, totals: DataFrame, support: int = SUPPORT, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """Scores of instances and of patterns.  ``edges``: (pattern, value, seed,
-    n), one row per pair; ``totals``: (pattern, all).  Patterns with fewer
-    than ``support`` different seeds have no say."""
-    able = edges.where("seed").groupBy("pattern").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= support)
-    edges = keep(edges.join(able.select("pattern"), "pattern").join(totals, "pattern"), "pii-graph")
-    instances = edges.groupBy("value").agg(F.max("seed").cast("double").alias("score"))
-    for _ in range(rounds):
-        patterns = edges.join(instances, "value").groupBy("pattern").agg(
-            F.least(F.lit(1.0), F.sum(F.col("score") * F.col("n")) / F.max(F.greatest("all", F.lit(1)))).alias("weight")
-        )
-        doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("weight"))))
-        instances = edges.join(patterns, "pattern").groupBy("value").agg(
-            F.when(F.max("seed"), F.lit(1.0)).otherwise(1 - F.exp(doubt)).alias("score")
-        )
-    return instances, patterns
+def score_graph(edges: DataFrame, support: int = SUPPORT, trust: float = TRUST, rounds: int = ROUNDS) -> DataFrame:
+    """(value, seed, score) of the instances that reach ``trust``.  ``edges``:
+    (pattern, word, value, seed, n, all), one row per pattern and value; word
+    is the one-word pattern inside, all counts the pattern in the corpus.
+
+    In each round the patterns with ``support`` different seeds or instances
+    trusted so far have a say.  Scores only grow from round to round, so the
+    trusted set does too, and the rounds end when it does not grow."""
+    trusted, known = None, -1
+    while True:
+        start = F.when(F.col("seed"), F.lit(1.0))
+        if trusted is None:
+            started = edges.withColumn("start", start.otherwise(0.0))
+        else:
+            before = trusted.select("value", F.col("score").alias("before"))
+            started = edges.join(before, "value", "left").withColumn("start", start.otherwise(F.coalesce("before", F.lit(0.0)))).drop("before")
+        able = started.where("start > 0").groupBy("pattern").agg(F.count("*").alias("held")).where(F.col("held") >= support)
+        active = keep(started.join(able.select("pattern"), "pattern"), "pii-graph")
+        instances = active.groupBy("value").agg(F.max("start").alias("score"))
+        for _ in range(rounds):
+            patterns = active.join(instances, "value").groupBy("pattern").agg(
+                F.least(F.lit(1.0), F.sum(F.col("score") * F.col("n")) / F.max(F.greatest("all", F.lit(1)))).alias("weight")
+            )
+            doubt = F.log(F.greatest(F.lit(1e-9), 1 - F.col("weight")))
+            single = F.col("pattern") == F.col("word")
+            sides = active.join(patterns, "pattern").groupBy("value", "word").agg(
+                F.max("seed").alias("seed"),
+                F.least(F.coalesce(F.sum(F.when(~single, doubt)), F.lit(0.0)), F.coalesce(F.min(F.when(single, doubt)), F.lit(0.0))).alias("doubt"),
+            )
+            instances = sides.groupBy("value").agg(
+                F.max("seed").alias("seed"), F.when(F.max("seed"), F.lit(1.0)).otherwise(1 - F.exp(F.sum("doubt"))).alias("score")
+            )
+        trusted = keep(instances.where(F.col("score") >= trust), "pii-trusted")
+        count = trusted.where("not seed").count()
+        if count == 0 or count == known:
+            return trusted
+        known = count
 
 
 def find_pii(
@@ -205,14 +244,15 @@ def find_pii(
     found = docs.select(row, F.col(text_col).alias("text")).mapInArrow(_extract, f"row struct<id:{ids},rid:bigint>, {FOUND}")
     found = keep(found.select("row.id", "row.rid", "base", "cands"), "pii-instances")
     uses = found.select("rid", F.explode("cands").alias("c")).select("rid", "c.*")
-    edges = uses.select(F.explode("patterns").alias("pattern"), "value", "seed")
-    edges = keep(edges.groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pii-edges")
-    strong = keep(edges.where("seed").groupBy("pattern").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= support), "pii-patterns")
-    bloom = bloom_of(strong, "pattern", bloom_bits)
+    edges = uses.select(F.explode("patterns").alias("p"), "value", "seed").select("p.pattern", "p.word", "value", "seed")
+    edges = keep(edges.groupBy("pattern", "word", "value").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pii-edges")
+    # Patterns around fewer instances, trusted or not, can have no say in any round.
+    able = keep(edges.groupBy("pattern").agg(F.count("*").alias("c")).where(F.col("c") >= support), "pii-patterns")
+    bloom = bloom_of(able, "pattern", bloom_bits)
     totals = docs.select(text_col).mapInArrow(_occurrences(bloom, bloom_bits), "pattern bigint, n bigint")
-    totals = totals.groupBy("pattern").agg(F.sum("n").alias("all"))
-    instances, _ = score_graph(edges, totals, support, rounds)
-    trusted = instances.where(F.col("score") >= trust).select("value")
+    totals = totals.groupBy("pattern").agg(F.sum("n").alias("all")).join(able.select("pattern"), "pattern", "left_semi")
+    edges = keep(edges.join(totals, "pattern"), "pii-counted")
+    trusted = score_graph(edges, support, trust, rounds).select("value")
     more = uses.where("not seed").join(trusted, "value").groupBy("rid").agg(
         F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("more")
     )

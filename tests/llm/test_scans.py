@@ -94,6 +94,22 @@ def test_pii_query_and_contexts(spark, duck):
     assert pii.find_pii(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_pii_contexts_reached_through_found_instances(spark):
+    """Found identifiers make new patterns, round after round; one word is a
+    context; words that mostly hold no identifier are none."""
+    rows = [(i, f"w{i} contact me at user{i}@mail.com for more") for i in range(12)]
+    rows += [(20 + i, f"contact me at BX1000{i} for more") for i in range(4)]
+    rows += [(30 + i, f"v{i} badge id BX1000{i} issued today") for i in range(4)]
+    rows += [(40 + i, f"u{i} badge id QQ2000{i} issued today") for i in range(3)]
+    rows += [(50 + i, f"t{i} locker of QQ2000{i} emptied") for i in range(3)] + [(59, "s locker of ZZ30009 emptied")]
+    rows += [(60 + i, f"x{i} Tel: user{i}@home.org y{i}") for i in range(5)] + [(70, "Tel: 555-1234"), (71, "word Tel: 555-9876 other")]
+    rows += [(80 + i, f"lot {i} plain user{i}@else.net") for i in range(4)] + [(90 + i, f"plain thing {i}") for i in range(20)] + [(120, "plain RR40004")]
+    got = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(got[20 + i] == "context:14:21" for i in range(4))
+    assert all(got[k + i] == "context:12:19" for k, n in ((30, 4), (40, 3)) for i in range(n))
+    assert got[59] == "context:12:19" and got[70] == "context:5:13" and got[71] == "context:10:18" and got[120] == ""
+
+
 def test_license_windows(spark, docs):
     rows = [(1, None), (2, "x " + licenses.TEMPLATES["MIT notice"].replace("merge", "fuse") + " y"), (None, "a b " * 30 + licenses.TEMPLATES["GPL-3.0 header"].upper()), (4, "license")]
     got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
