@@ -1,10 +1,12 @@
 """Secret scans: patterns and character Markov models (operator 8),
 DataFrame functions only.
 
-Three patterns give the base spans.  The method adds what they miss: long
-unbroken runs of key characters are scored by the log-likelihood ratio of two
-first-order Markov models over character classes, one of random strings, one
-of ordinary identifiers, per character.  Both are trained from labelled
+Three patterns give the base spans.  The method adds what they miss: in the
+parts of long unbroken runs of key characters that no base span covers, the
+stretches are sought whose log-likelihood ratio of two first-order Markov
+models over character classes, one of random strings, one of ordinary
+identifiers, is high per character.  A key is found wherever it stands in a
+path or a slug, and several in one run.  Both models are trained from labelled
 samples: values that follow a credential name or have a key's form (random),
 and words and identifiers (ordinary).
 """
@@ -27,6 +29,11 @@ LEAST = 20
 RUN = rf"[A-Za-z0-9+/_=-]{{{LEAST},}}"
 KINDS = ("assign", "access", "hex", "markov")
 THRESHOLD = 1.7
+#: A stretch ends where its score falls this much below its highest.
+DROP = 20.0
+#: What a stretch must score above the threshold in sum: the best of many
+#: stretches of an ordinary name passes the threshold by chance, rarely by much.
+EVIDENCE = 20.0
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzA0+"
 
 Spans = "array<struct<start:int,end:int,hit:string>>"
@@ -102,13 +109,90 @@ def train_models(samples: DataFrame) -> dict[str, float]:
     return {p: random[p] - ordinary[p] for p in random}
 
 
-def markov_score(run: Column, ratios: dict[str, float]) -> Column:
-    """Mean log-likelihood ratio per character pair of a run."""
-    table = F.from_json(F.lit(json.dumps({k: round(v, 6) for k, v in ratios.items()})), "map<string,double>")
-    folded = _folded(run)
-    pairs = F.transform(F.sequence(F.lit(1), F.length(run) - 1), lambda i: F.substring(folded, i, F.lit(2)))
-    total = F.aggregate(pairs, F.lit(0.0), lambda acc, p: acc + F.coalesce(F.try_element_at(table, p), F.lit(0.0)))
-    return total / F.greatest(F.length(run) - 1, F.lit(1))
+def _free_pieces(run: Column, base: Column) -> Column:
+    """Parts of a run that no base span covers, as (start, hit)."""
+    inside = F.array_sort(F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])))
+    edges = F.concat(inside, F.array(F.struct(run["end"].alias("start"), F.lit(0).alias("kind"), run["end"].alias("end"))))
+    empty = F.struct(run["start"].alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("all"))
+
+    def step(acc: Column, b: Column) -> Column:
+        piece = F.array(F.struct(acc["at"].alias("start"), b["start"].alias("end")))
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.when(b["start"] > acc["at"], F.concat(acc["all"], piece)).otherwise(acc["all"]).alias("all"))
+
+    pieces = F.filter(F.aggregate(edges, empty, step, lambda acc: acc["all"]), lambda p: p["end"] - p["start"] >= LEAST)
+    return F.transform(
+        pieces, lambda p: F.struct(p["start"].alias("start"), F.substring(run["hit"], p["start"] - run["start"] + 1, p["end"] - p["start"]).alias("hit"))
+    )
+
+
+def _gains(hit: Column, ratios: dict[str, float], threshold: float) -> Column:
+    """For each pair of characters its log-likelihood ratio less the threshold."""
+    wide = len(SYMBOLS) + 1  # place 0: no symbol
+    flat = [0.0] * (wide * wide)
+    for pair, ratio in ratios.items():
+        flat[(SYMBOLS.index(pair[0]) + 1) * wide + SYMBOLS.index(pair[1]) + 1] = round(ratio, 6)
+    table = F.from_json(F.lit(json.dumps(flat)), "array<double>")
+    places = F.transform(F.split(_folded(hit), ""), lambda c: F.instr(F.lit(SYMBOLS), c))
+    # The last place has no partner and is cut off.
+    pairs = F.zip_with(F.slice(places, 1, F.size(places) - 1), F.slice(places, 2, F.size(places) - 1), lambda a, b: F.get(table, a * wide + b))
+    return F.transform(pairs, lambda r: r - F.lit(threshold))
+
+
+def _stretches(gains: Column) -> Column:
+    """Disjoint stretches (from, to; characters of the piece, end exclusive) of
+    at least LEAST characters whose gains sum to EVIDENCE or more: one pass with
+    the running sum and, LEAST - 1 pairs behind, its lowest value so far.  A
+    stretch ends at its highest sum once the sum falls DROP below; the search
+    goes on from there."""
+    lag = LEAST - 1
+    none = F.lit(None)
+    state = F.struct(
+        F.lit(0).alias("at"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("late"), F.lit(0).alias("base"),
+        none.cast("double").alias("low"), F.lit(0).alias("low_at"), none.cast("double").alias("best"), F.lit(0.0).alias("top"),
+        F.lit(0).alias("from"), F.lit(0).alias("to"), F.expr("cast(array() as array<struct<from:int,to:int>>)").alias("all"),
+    )
+
+    def closed(acc: Column) -> Column:
+        more = F.concat(acc["all"], F.array(F.struct(acc["from"].alias("from"), acc["to"].alias("to"))))
+        return F.when(acc["best"] >= EVIDENCE, more).otherwise(acc["all"])
+
+    def step(acc: Column, x: Column) -> Column:
+        # x: this gain, and the one that the late sum takes now
+        at, start = acc["at"] + 1, acc["at"] + 1 - lag
+        total = acc["sum"] + x["gain"]
+        late = acc["late"] + x["late"]
+        fresh = (start >= acc["base"]) & (acc["low"].isNull() | (late < acc["low"]))
+        low = F.when(fresh, late).otherwise(acc["low"])
+        better = (total >= low) & (acc["best"].isNull() | (total - low >= acc["best"]))
+        ends = acc["best"].isNotNull() & (total < acc["top"] - DROP)
+        better = F.coalesce(better, F.lit(False)) & ~ends
+        return F.struct(
+            at.alias("at"), total.alias("sum"), late.alias("late"), F.when(ends, at).otherwise(acc["base"]).alias("base"),
+            F.when(~ends, low).alias("low"), F.when(fresh, start).otherwise(acc["low_at"]).alias("low_at"),
+            F.when(better, total - low).when(~ends, acc["best"]).alias("best"), F.when(better, total).otherwise(acc["top"]).alias("top"),
+            F.when(better & fresh, start).when(better, acc["low_at"]).otherwise(acc["from"]).alias("from"),
+            F.when(better, at + 1).otherwise(acc["to"]).alias("to"), F.when(ends, closed(acc)).otherwise(acc["all"]).alias("all"),
+        )
+
+    behind = F.concat(F.array_repeat(F.lit(0.0), lag), gains)
+    both = F.zip_with(gains, F.slice(behind, 1, F.size(gains)), lambda g, b: F.struct(g.alias("gain"), b.alias("late")))
+    return F.aggregate(both, state, step, closed)
+
+
+def _whole(hit: Column, stretches: Column) -> Column:
+    """Stretches extended to the next separators, so that no end of a key is
+    left out, and joined where they then overlap."""
+    wider = F.transform(stretches, lambda s: F.struct(
+        (s["from"] - F.length(F.regexp_extract(F.substring(hit, F.lit(1), s["from"]), "[A-Za-z0-9]*$", 0))).alias("from"),
+        (s["to"] + F.length(F.regexp_extract(F.substring(hit, s["to"] + 1, F.length(hit)), "^[A-Za-z0-9]*", 0))).alias("to"),
+    ))
+
+    def step(acc: Column, s: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["from"].alias("from"), F.greatest(last["to"], s["to"]).alias("to"))))
+        return F.when(last["to"] > s["from"], joined).otherwise(F.concat(acc, F.array(s)))
+
+    return F.aggregate(wider, F.expr("cast(array() as array<struct<from:int,to:int>>)"), step)
 
 
 def scan(docs: DataFrame, ratios: dict[str, float], threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,10 +213,24 @@ def scan(docs: DataFrame, ratios: dict[str, float], threshold: float = THRESHOLD
 
     rows = rows.withColumn("base", F.concat(*[ordered(i, n) for i, n in enumerate(KINDS[:3])]))
 
-    def free(run: Column) -> Column:
-        return ~F.exists("base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-
-    rows = rows.withColumn("markov", F.filter("runs", lambda r: free(r) & r["hit"].rlike("[0-9]") & (markov_score(r["hit"], ratios) >= threshold)))
+    rows = rows.withColumn("pieces", F.flatten(F.transform("runs", lambda r: _free_pieces(r, F.col("base")))))
+    rows = rows.withColumn("pieces", F.transform(
+        "pieces", lambda p: F.struct(p["start"].alias("start"), p["hit"].alias("hit"), _gains(p["hit"], ratios, threshold).alias("gains"))
+    ))
+    rows = rows.withColumn("pieces", F.transform("pieces", lambda p: F.struct(
+        p["start"].alias("start"), p["hit"].alias("hit"), _whole(p["hit"], _stretches(p["gains"])).alias("keys"),
+        (F.aggregate(p["gains"], F.lit(0.0), lambda acc, g: acc + g) >= 0).alias("high"),
+    )))
+
+    def keys(piece: Column) -> Column:
+        # A piece that is high as a whole counts also where no stretch stands out.
+        all_ = F.array(F.struct(F.lit(0).alias("from"), F.length(piece["hit"]).alias("to")))
+        return F.when((F.size(piece["keys"]) == 0) & piece["high"] & piece["hit"].rlike("[0-9]"), all_).otherwise(piece["keys"])
+
+    found = F.transform("pieces", lambda p: F.transform(
+        keys(p), lambda s: F.struct((p["start"] + s["from"]).alias("start"), (p["start"] + s["to"]).alias("end"))
+    ))
+    rows = rows.withColumn("markov", F.flatten(found))
 
     def listed(spans: Column) -> Column:
         names = F.array(*[F.lit(k) for k in KINDS])

@@ -57,6 +57,31 @@ def test_markov_models_tell_keys_from_identifiers(spark, duck):
     assert sum(i in hit for i in range(200)) >= 190 and sum(i in hit for i in range(200, 400)) <= 10
 
 
+def test_markov_keys_inside_paths_and_beside_base_spans(spark):
+    """Keys diluted by a path, two in one run, beside a base span, or without a
+    digit are covered; ordinary names are not."""
+    ratios = secrets.train_models(secrets.labelled_samples(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+    random.seed(3)
+
+    def key(n, chars=string.ascii_letters + string.digits):
+        return "".join(random.choice(chars) for _ in range(n))
+
+    path, names = "/users/settings/integrations/webhooks/deliveries/", ["account", "export", "settings", "customer", "record", "stream", "report"]
+    kinds = [lambda k: path + k, lambda k: f"{path}{k}{path}{key(28)}"]
+    rows, want = [], {}
+    for i in range(160):
+        k = key(28, string.ascii_letters) if i % 8 == 7 else key(28)
+        text = kinds[i % 2](k) if i < 80 else f"x AKIA{key(16, string.ascii_uppercase + string.digits)}/{path}{k}"
+        rows.append((i, text))
+        want[i] = (text.index(k), text.index(k) + len(k), 2 if i < 80 and i % 2 else 1)
+    rows += [(1000 + i, "_".join(random.sample(names, 5))) for i in range(100)]
+    rows += [(2000 + i, "/" + "/".join(random.sample(names, 5)) + f"/v{i}") for i in range(100)]
+    got = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("markov")] for r in secrets.scan(
+        spark.createDataFrame(rows, "doc_id bigint, text string"), ratios).collect()}
+    covered = sum(len(got[i]) == n and any(a <= low and high <= b for a, b in got[i]) for i, (low, high, n) in want.items())
+    assert covered >= 152 and sum(bool(got[i]) for i in got if i >= 1000) <= 10
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
