@@ -55,9 +55,10 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     Files may differ in column order and in extra columns.  The ticker is a
     column of the file, or its ``ticker=<T>`` folder as ``write_transcripts``
     leaves it.  A file without the expected header fails the read, naming the
-    file; nothing is skipped.
+    file; so does one whose header has more than ``_MOST_COLUMNS`` cells.  Nothing
+    is skipped.
     """
-    raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(_MOST_COLUMNS)])
+    raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(_MOST_COLUMNS + 1)])
     raw = (
         spark.read.schema(raw_schema)
         .option("header", False)
@@ -73,12 +74,15 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     needed = F.array(*[F.lit(f.name) for f in TRANSCRIPT_FIELDS])
     is_header = F.size(F.array_intersect(names, needed)) == len(TRANSCRIPT_FIELDS)
     # One row of names per file: the small side of the join, sized by Spark.
-    headers = raw.filter(is_header).groupBy("_file").agg(F.first(names).alias("_names"))
+    headers = raw.filter(is_header).groupBy("_file").agg(
+        F.first(names).alias("_names"), F.max(F.get(names, F.lit(_MOST_COLUMNS)).isNotNull()).alias("_wide")
+    )
     rows = raw.filter(~is_header).join(headers, "_file", "left")
     missing = F.raise_error(F.concat(F.lit("no transcript header in "), F.col("_file"))).cast("int")
+    wide = F.raise_error(F.concat(F.lit(f"more than {_MOST_COLUMNS} columns in "), F.col("_file"))).cast("int")
 
     def cell(name: str) -> Column:
-        at = F.when(F.col("_names").isNull(), missing).otherwise(F.array_position("_names", name).cast("int"))
+        at = F.when(F.col("_names").isNull(), missing).when(F.col("_wide"), wide).otherwise(F.array_position("_names", name).cast("int"))
         return F.get("_cells", F.nullif(at, F.lit(0)) - 1)
 
     folder = F.nullif(F.regexp_extract("_file", r"ticker=([^/]+)/", 1), F.lit(""))
