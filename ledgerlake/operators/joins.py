@@ -64,6 +64,6 @@ def request_grid(keys: DataFrame, years: Sequence[int], quarters: Sequence[int]
     per-row expansion (no cross join and no shuffle); output size is
     rows(keys) * len(years) * len(quarters).
     """
-    return keys.withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years]))).withColumn(
+    return keys.withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years]).cast("array<int>"))).withColumn(
         "quarter", F.explode(F.array(*[F.lit(int(q)) for q in quarters]))
     )

@@ -67,3 +67,18 @@ def test_raw_tag_prefilter_reaches_scan(spark, scratch):
     df = _parquet(spark, scratch, [("AssetsCurrent", 1.0), ("Goodwill", 2.0)], "finType string, val double", "raw")
     plan = _plan(keep_rollup_canonical(df))
     assert re.search(r"PushedFilters: \[[^\]]*In\(finType", plan)
+
+
+def test_harvest_takes_the_years_of_the_orders(spark, tmp_path):
+    from ledgerlake.plans.catalog import q_harvest
+
+    spark.createDataFrame([(1,), (2,)], "c_custkey bigint").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = spark.createDataFrame(
+        [(1, "1994-02-03", "O", "1-URGENT"), (1, "1998-05-06", "F", "2-HIGH"), (2, "2005-11-12", "O", "5-LOW"), (2, "2005-03-01", "P", "5-LOW"), (2, None, "O", "5-LOW")],
+        "o_custkey bigint, o_orderdate string, o_orderstatus string, o_orderpriority string",
+    ).withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    assert {r.transcriptID for r in q_harvest(spark, str(tmp_path)).collect()} == {"1994-Q1-C1", "1998-Q2-C1", "2005-Q4-C2"}
+    orders.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    spark.catalog.clearCache()
+    assert q_harvest(spark, str(tmp_path)).count() == 0
