@@ -174,13 +174,17 @@ def held_out(id_col: str) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Machine:
     """Fit on about ``sample`` labelled rows at most, drawn by a hash of the
-    id.  Several labels of an id are averaged; null labels do not count."""
+    id.  Several labels of an id are averaged; null labels do not count.  Of
+    the rows that share an id one teaches, chosen by a hash of its text."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("id")).agg((F.avg(F.col(label_col).cast("double")) >= 0.5).cast("double").alias("label"))
     total = known.count()
     if total > sample:
         known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * sample / total))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id").select("id", "label", "text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
+    text = F.coalesce("text", F.lit(""))
+    rows = rows.groupBy("id", "label").agg(F.min(F.struct(F.xxhash64(text).alias("hash"), text.alias("text"))).alias("one"))
+    rows = rows.select("id", "label", "one.text")
     kind = rows.schema["id"].dataType.simpleString()
     got = rows.mapInArrow(_feature_pass, f"id {kind}, label double, at binary, value binary").collect()
     got.sort(key=lambda r: (r["id"], r["at"]))

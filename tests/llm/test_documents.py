@@ -45,6 +45,20 @@ def test_mix_edge_rows(spark, docs):
     assert rows.count() == sum(r.copies for r in out)
 
 
+def test_quality_learns_one_row_of_each_id(spark):
+    rows = [(i, f"text number {i} of some words" + " again" * (i % 5)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    hot = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2)
+
+    def fitted(more):
+        return quality.train(spark.createDataFrame(rows + more, "doc_id bigint, text string"), labels)
+
+    once, often = fitted([]), fitted([rows[hot]] * 40)
+    assert once.bias == often.bias and (once.linear == often.linear).all() and (once.pairs == often.pairs).all()
+    others = [(hot, f"other text {i}") for i in range(9)]
+    assert (fitted(others).linear == fitted(others[::-1] * 3).linear).all()
+
+
 def test_shards_differ_by_one_row(spark, docs):
     out = sharding.op4_sharding(spark, SF).collect()
     count = Counter(r.shard for r in out)
