@@ -5,8 +5,10 @@ Every shard owns ``vnodes`` points of a ring; a document's key belongs to the
 shard of the next point clockwise.  A shard takes rows up to its capacity;
 what overflows continues clockwise to the next point whose shard has room.
 Rows are ranked within each arc of the ring, so a decision about an arc is a
-handful of rank intervals, and the driver handles one number per arc and
-block (``shards * vnodes * BLOCKS`` at most), never rows.
+handful of rank intervals.  Arcs are cut into ranges of about equal row counts,
+rows are ranked in each range, and the ranges before give the offset.  The
+driver handles one number per range and arc that meet (``shards * vnodes`` plus
+the number of shuffle partitions at most), never rows.
 """
 
 from __future__ import annotations
@@ -18,10 +20,7 @@ from bisect import bisect_right
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import keep, load, range_of, text_or_empty
-
-#: Blocks of an arc by text, so that one repeated key does not fill one task.
-BLOCKS = 4
+from ledgerlake.llm.common import keep, load, partitions, range_of, text_or_empty
 
 
 def ring(shards: int, vnodes: int) -> list[tuple[int, int]]:
@@ -67,7 +66,7 @@ def shard_rows(
     """One row per input row: id, size (UTF-8 bytes of the text plus 1),
     text_crc32, shard, slot (gapless from 0 in each shard).
 
-    A null text has no bytes.  Null ids are one key, split by their texts.
+    A null text has no bytes.  Null ids are one key.
     Rows that agree in id and text are interchangeable and only their number
     counts.  An empty table gives no rows.
     """
@@ -79,15 +78,22 @@ def shard_rows(
     # An arc ends at its point; what lies behind the last point wraps to the first.
     cuts = F.from_json(F.lit(json.dumps([p for p, _ in points])), "array<bigint>")
     rows = rows.withColumn("arc", F.pmod(range_of(F.col("pos"), cuts, len(points)), F.lit(len(points))).cast("int"))
-    rows = rows.withColumn("block", F.pmod(F.col("crc"), F.lit(BLOCKS)).cast("int"))
-    order = Window.partitionBy("arc", "block").orderBy("pos", "id", "crc", "size")
-    ranked = keep(rows.withColumn("rank", F.row_number().over(order) - 1).drop("pos"), "ring-ranks")
-    counts = {(r["arc"], r["block"]): r["n"] for r in ranked.groupBy("arc", "block").agg(F.count("*").alias("n")).collect()}
+    # The salt splits rows that agree in all else; it decides nothing but their order.
+    order = ["arc", "pos", "crc", "size", "salt"]
+    rows = rows.withColumn("salt", F.xxhash64(F.monotonically_increasing_id()))
+    rows = rows.repartitionByRange(partitions(spark), *order).withColumn("range", F.spark_partition_id())
+    inside = Window.partitionBy("arc", "range").orderBy(*order[1:])
+    ranked = keep(rows.withColumn("rank", (F.row_number().over(inside) - 1).cast("bigint")).drop("pos", "salt"), "ring-ranks")
+    offsets, counts = [], {}
+    for r in ranked.groupBy("arc", "range").agg(F.count("*").alias("n")).orderBy("arc", "range").collect():
+        offsets.append((r["arc"], r["range"], counts.get((r["arc"], 0), 0)))
+        counts[r["arc"], 0] = offsets[-1][2] + r["n"]
     moves = bounded_loads(counts, [s for _, s in points], capacities(sum(counts.values()), shards, slack))
-    plan = spark.createDataFrame(moves, "arc int, block int, low int, high int, shard int, slot0 bigint")
+    plan = spark.createDataFrame([(m[0], *m[2:]) for m in moves], "arc int, low bigint, high bigint, shard int, slot0 bigint")
     # The plan has at most one row per point passed; its size is bounded by the ring.
-    home = F.broadcast(plan.groupBy("arc", "block").agg(F.sort_array(F.collect_list(F.struct("low", "high", "shard", "slot0"))).alias("parts")))
-    placed = ranked.join(home, ["arc", "block"])
+    home = F.broadcast(plan.groupBy("arc").agg(F.sort_array(F.collect_list(F.struct("low", "high", "shard", "slot0"))).alias("parts")))
+    before = F.broadcast(spark.createDataFrame(offsets, "arc int, range int, before bigint"))
+    placed = ranked.join(before, ["arc", "range"]).withColumn("rank", F.col("rank") + F.col("before")).join(home, "arc")
     part = F.element_at(F.filter("parts", lambda p: (p["low"] <= F.col("rank")) & (F.col("rank") < p["high"])), 1)
     return placed.withColumn("part", part).select(
         F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.col("part.shard").alias("shard"),

@@ -59,6 +59,25 @@ def test_quality_learns_one_row_of_each_id(spark):
     assert (fitted(others).linear == fitted(others[::-1] * 3).linear).all()
 
 
+def test_shards_split_a_hot_id(spark, monkeypatch):
+    """Equal rows that make up a third are ranked in many groups; shards do not
+    depend on how the rows are dealt over tasks."""
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "if(id % 3 = 0, 'same', concat('t', id)) as text")
+    ranked, real = [], sharding.keep
+    monkeypatch.setattr(sharding, "keep", lambda d, name: ranked.append(real(d, name)) or ranked[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        one, two = (sharding.shard_rows(d, shards=5, vnodes=8).collect() for d in (df, df.repartition(7, "text")))
+        groups = ranked[0].groupBy(*[c for c in ("arc", "block", "range") if c in ranked[0].columns]).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(r["count"] for r in groups) <= 300
+    assert Counter((r.doc_id, r.text_crc32, r.shard) for r in one) == Counter((r.doc_id, r.text_crc32, r.shard) for r in two)
+    for shard in range(5):
+        assert sorted(r.slot for r in one if r.shard == shard) == list(range(600))
+
+
 def test_shards_differ_by_one_row(spark, docs):
     out = sharding.op4_sharding(spark, SF).collect()
     count = Counter(r.shard for r in out)
