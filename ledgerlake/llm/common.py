@@ -116,8 +116,9 @@ GRAPH_WORD[0x09:0x0E] = GRAPH_WORD[0x20] = False
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
+AS_IS = np.arange(256, dtype=np.uint8)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_SEGMENT = 1 << 21
+_SEGMENT = 1 << 17
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -130,10 +131,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, for one segment."""
+    if not _POWERS:
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        up, down = np.full(n, _BASE, np.uint64), np.full(n, inverse, np.uint64)
+        up, down = np.full(_SEGMENT + 1, _BASE, np.uint64), np.full(_SEGMENT + 1, inverse, np.uint64)
         up[0] = down[0] = 1
         _POWERS["up"], _POWERS["down"] = np.cumprod(up), np.cumprod(down)
     return _POWERS["up"], _POWERS["down"]
@@ -148,20 +150,26 @@ def words_of(raw: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return turn[0::2], turn[1::2]
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each lower-cased word: a polynomial in its bytes from
-    prefix sums, taken in segments of words so that memory stays bounded."""
-    out = np.empty(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(starts, starts[at] + _SEGMENT)))
-        first, last = int(starts[at]), int(ends[to - 1])
-        up, down = _powers(max(_SEGMENT, last - first) + 1)
-        sums = np.zeros(last - first + 1, np.uint64)
-        np.cumsum((_FOLD[raw[first:last]].astype(np.uint64) + np.uint64(1)) * up[: last - first], out=sums[1:])
-        s, e = starts[at:to] - first, ends[at:to] - first
-        out[at:to] = (sums[e] - sums[s]) * down[s]
-        at = to
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = _FOLD) -> np.ndarray:
+    """64-bit hash of each word (lower-cased; as it is with ``AS_IS``): a
+    polynomial in its bytes from prefix sums.  Bytes are taken in segments of
+    fixed size, and the sum of a word that crosses a border is carried on, so
+    neither long texts nor long words take more memory."""
+    out = np.zeros(len(starts), np.uint64)
+    if len(starts):
+        up, down = _powers()
+        sums = np.zeros(_SEGMENT + 1, np.uint64)
+        for low in range(int(starts[0]), int(ends[-1]), _SEGMENT):
+            high = min(low + _SEGMENT, int(ends[-1]))
+            a, b = np.searchsorted(ends, low, side="right"), np.searchsorted(starts, high, side="left")
+            if a == b:
+                continue
+            np.cumsum((fold[raw[low:high]].astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1 : high - low + 1])
+            s, e = np.maximum(starts[a:b], low) - low, np.minimum(ends[a:b], high) - low
+            part = (sums[e] - sums[s]) * down[s]
+            if starts[a] < low:
+                part[:1] *= np.uint64(pow(int(_BASE), low - int(starts[a]), 1 << 64))
+            out[a:b] += part
     return mix(out)
 
 
@@ -189,6 +197,7 @@ def text_slices(column, most_bytes: int = 1 << 22) -> Iterator[tuple[int, int, n
         to = min(n, to)
         yield at, to, raw[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 def words_in_rows(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):

@@ -32,8 +32,9 @@ from ledgerlake.llm.common import fresh_path, load, partitions, range_of, text_o
 BLOCK, PERCENTILE = 1024, 90
 MAGIC = b"PFORIDS1"
 END_ID = 2
-#: Pieces of text whose ids a worker remembers at most; then it starts anew.
-MOST_PIECES = 600_000
+#: Pieces of text that one generation of a worker's memory holds at most, and
+#: the longest one it keeps (about 20 MB a generation).
+MOST_PIECES, LONGEST_PIECE = 150_000, 64
 
 
 # --- text to ids --------------------------------------------------------------
@@ -47,15 +48,23 @@ PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
 
 
 class Pieces(dict):
-    """Ids (uint32 bytes) of text pieces, encoded when first met."""
+    """Ids (uint32 bytes) of text pieces, encoded when first met.
 
-    def __init__(self, encoder: "Encoder", lead: str):
-        self.encoder, self.lead = encoder, lead
+    Two generations: a full one becomes the old one, and what is used again
+    comes back from there, so frequent pieces stay and memory is bounded."""
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
 
     def __missing__(self, piece: str) -> bytes:
-        self.encoder.bound()
-        found = self.encoder.encode_piece(self.lead + piece)
-        self[piece] = found
+        found = self.old.get(piece)
+        if found is None:
+            found = self.make(piece)
+        if len(piece) <= LONGEST_PIECE:
+            if len(self) >= MOST_PIECES:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = found
         return found
 
 
@@ -75,30 +84,26 @@ class Encoder:
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(printable)]
         self.letters = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(rest)}
-        self.head, self.tail = Pieces(self, ""), Pieces(self, " ")
-        self.words: dict[str, bytes] = {}
-
-    def bound(self) -> None:
-        if len(self.head) + len(self.tail) > MOST_PIECES:
-            self.head.clear()
-            self.tail.clear()
-        if len(self.words) > MOST_PIECES:
-            self.words.clear()
-
-    def encode_piece(self, piece: str) -> bytes:
-        plain = PLAIN.fullmatch(piece.removeprefix(" "))
-        if not plain:
-            return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        cut = len(piece) - len(plain[2])
-        return self.encode_word(piece[:cut]) + (self.encode_word(piece[cut:]) if plain[2] else b"")
+        self.head, self.tail = Pieces(self.encode_head), Pieces(self.encode_tail)
 
-    def encode_word(self, word: str) -> bytes:
-        """One pre-token: its bytes as the model's letters, straight to the model."""
-        found = self.words.get(word)
-        if found is None:
-            spelled = word.encode().decode("latin-1").translate(self.letters)
-            found = self.words[word] = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-        return found
+    def encode_head(self, piece: str) -> bytes:
+        return self.encode_piece("", piece, self.head)
+
+    def encode_tail(self, piece: str) -> bytes:
+        return self.encode_piece(" ", piece, self.tail)
+
+    def encode_piece(self, lead: str, piece: str, kept: Pieces) -> bytes:
+        """A plain word goes straight to the model, its bytes as the model's letters."""
+        plain = PLAIN.fullmatch(piece)
+        if not plain:
+            return np.array(self.tokenizer.encode(lead + piece, add_special_tokens=False).ids, "<u4").tobytes()
+        if plain[2]:
+            return kept[plain[1]] + self.spelled(plain[2])
+        return self.spelled(lead + piece)
+
+    def spelled(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
