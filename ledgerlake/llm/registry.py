@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import dedup_exact, licenses, mixing, near_dedup, pii, quality, secrets, sharding, tokens, winnowing
+from ledgerlake.llm import dedup_exact, lexical, licenses, mixing, near_dedup, pii, quality, rules, secrets, sharding, spelling, tokens, winnowing
 
 QUERIES = {
     "op1_decontamination": (winnowing.op1_decontamination, winnowing.OP1_SQL),
@@ -15,4 +15,7 @@ QUERIES = {
     "op8_secrets": (secrets.op8_secrets, None),
     "op9_pii": (pii.op9_pii, None),
     "op10_near_dedup": (near_dedup.op10_near_dedup, near_dedup.OP10_SQL),
+    "op11_lexical_search": (lexical.op11_lexical_search, lexical.OP11_SQL),
+    "op12_quality_rules": (rules.op12_quality_rules, None),
+    "op13_spelling": (spelling.op13_spelling, spelling.OP13_SQL),
 }
