@@ -126,15 +126,17 @@ def calendar_parts(c: ColumnOrName) -> dict[str, Column]:
 
 
 # SCL14 -----------------------------------------------------------------------
-def epoch_to_date(c: ColumnOrName) -> Column:
-    """Epoch seconds -> date in the session time zone."""
-    return F.to_date(F.timestamp_seconds(_c(c)))
+def epoch_to_date(c: ColumnOrName, zone: str = "UTC") -> Column:
+    """Epoch seconds -> date in ``zone``, independent of the session's zone."""
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=_c(c))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc).cast("date")
 
 
 # SCL15 -----------------------------------------------------------------------
-def default_range(years: int) -> tuple[Column, Column]:
-    """(start, end) = (today - 366*years days, today)."""
-    return F.date_sub(F.current_date(), 366 * years), F.current_date()
+def default_range(years: int, today: ColumnOrName | None = None) -> tuple[Column, Column]:
+    """(start, end) = (today - 366*years days, today); ``today`` is the current date by default."""
+    end = F.current_date() if today is None else F.to_date(_c(today))
+    return F.date_sub(end, 366 * years), end
 
 
 # SCL19 / SCL20 -----------------------------------------------------------------

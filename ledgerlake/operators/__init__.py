@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators with column names as parameters."""
 
-from ledgerlake.operators.joins import attach_transcripts, merge_filings, null_safe_join, request_grid
+from ledgerlake.operators.joins import attach_transcripts, merge_filings, null_safe_join, request_grid, years_of
 from ledgerlake.operators.periods import decumulate, month_window, next_values, period_means, start_presence
 from ledgerlake.operators.prices import add_price_change_class, window_closes
 from ledgerlake.operators.projections import (
@@ -16,6 +16,7 @@ from ledgerlake.operators.projections import (
 )
 from ledgerlake.operators.quality import duplicate_keys, missing_data_flags, null_counts, raise_if_failed, validate
 from ledgerlake.operators.reshape import drop_sparse, pivot_facts, pivot_wide
+from ledgerlake.operators.versions import newest
 from ledgerlake.operators.tags import (
     child_to_parent,
     clean_facts,

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -57,13 +57,21 @@ def attach_transcripts(facts: DataFrame, transcripts: DataFrame, key: str = "tra
     return null_safe_join(facts, transcripts, [key], "left")
 
 
-def request_grid(keys: DataFrame, years: Sequence[int], quarters: Sequence[int] = (1, 2, 3, 4)) -> DataFrame:
+def request_grid(keys: DataFrame, years: Sequence[int] | Column, quarters: Sequence[int] = (1, 2, 3, 4)) -> DataFrame:
     """JON6: every key x year x quarter.
 
-    Written as two generators over literal arrays, so it is a narrow
-    per-row expansion (no cross join and no shuffle); output size is
-    rows(keys) * len(years) * len(quarters).
+    Written as two generators over arrays, so it is a narrow per-row expansion
+    (no cross join and no shuffle); output size is rows(keys) * len(years) *
+    len(quarters).  ``years`` may be a column of a small array, such as a
+    scalar subquery over the years that occur.
     """
-    return keys.withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years]).cast("array<int>"))).withColumn(
+    listed = years if isinstance(years, Column) else F.array(*[F.lit(int(y)) for y in years])
+    return keys.withColumn("year", F.explode(listed.cast("array<int>"))).withColumn(
         "quarter", F.explode(F.array(*[F.lit(int(q)) for q in quarters]))
     )
+
+
+def years_of(df: DataFrame, date_col: str) -> Column:
+    """The distinct years of a date column as a scalar subquery: an array of
+    calendar years, found when the plan runs and not while it is built."""
+    return df.agg(F.array_sort(F.collect_set(F.year(date_col)))).scalar()

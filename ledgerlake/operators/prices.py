@@ -5,12 +5,17 @@ join: report windows [reportDate - 3 months, reportDate) against a price
 table.  Scale shape:
 
 * facts are reduced to distinct (ticker, reportDate) windows first;
-* each window is expanded to the (at most four) calendar months it touches,
-  and prices carry their month, so the join is an equi-join on
-  (ticker, month) with the date range as a residual -- a ticker with a long
-  history is spread over many join keys instead of one sort-merge group;
-* first and last close are ``min_by`` / ``max_by`` on the date, aggregated
-  map-side before the shuffle;
+* bars are collapsed to one per (ticker, day), and those to one summary per
+  (ticker, month): first and last day with their closes.  Both are hash
+  aggregates over fixed-width values, and the summary reads the shuffle of
+  the daily bars again, so prices are scanned and shuffled once;
+* each window is expanded to the (at most four) calendar months it touches:
+  the months at its edges meet the daily bars, whole months in between meet
+  one summary row.  The join is an equi-join on (ticker, month, kind) with the
+  date range as a residual -- a ticker with a long history is spread over many
+  join keys instead of one sort-merge group;
+* first and last close of a window are ``min_by`` / ``max_by`` on a date: hash
+  aggregates again, combined before the shuffle;
 * the classes join back to the facts on (ticker, reportDate).
 """
 
@@ -38,48 +43,57 @@ def window_closes(
 
     ``windows`` holds (ticker, report date) pairs; output is one row per
     distinct pair that has at least one price: ticker, report date,
-    first_close, last_close.
+    first_close, last_close.  Of several bars of a day the smallest close is
+    the first and the largest the last; a null close counts as the smallest.
     """
+    month_of_window = F.sequence(
+        F.trunc(F.col("_start"), "month"), F.trunc(F.date_sub(F.col("_rd"), 1), "month"), F.expr("INTERVAL 1 MONTH")
+    )
     w = (
         windows.select(F.col(ticker_col).alias("_t"), F.to_date(F.col(report_col)).alias("_rd"))
         .dropna()
         .distinct()
         .withColumn("_start", minus_months("_rd", months))
-        .withColumn(
-            "_mb",
-            F.explode(
-                F.sequence(
-                    F.trunc(F.col("_start"), "month"),
-                    F.trunc(F.date_sub(F.col("_rd"), 1), "month"),
-                    F.expr("INTERVAL 1 MONTH"),
-                )
-            ),
-        )
+        .withColumn("_mb", F.explode(month_of_window))
+        .withColumn("_whole", (F.col("_mb") >= F.col("_start")) & (F.add_months("_mb", 1) <= F.col("_rd")))
     )
-    p = prices.select(
+    bars = prices.select(
         F.col(price_ticker_col).alias("_pt"),
         F.to_date(F.col(price_date_col)).alias("_pd"),
         F.col(price_col).cast("double").alias("_close"),
-    ).withColumn("_pmb", F.trunc(F.col("_pd"), "month"))
+    )
+    # Said in full, so that the join infers the same filters below both kinds
+    # of row and their common shuffle is read again.
+    bars = bars.filter(F.col("_pt").isNotNull() & F.col("_pd").isNotNull() & F.trunc("_pd", "month").isNotNull())
+    p = daily_and_monthly(bars)
     cond = (
         (w["_t"] == p["_pt"])
         & (w["_mb"] == p["_pmb"])
-        & (p["_pd"] >= w["_start"])
-        & (p["_pd"] < w["_rd"])
+        & (w["_whole"] == p["_month"])
+        & (p["_from"] >= w["_start"])
+        & (p["_to"] < w["_rd"])
     )
     return (
         w.join(p, cond, "inner")
         .groupBy("_t", "_rd")
-        .agg(
-            # ties on a date (duplicate bars) break on the close itself, so a
-            # recomputation after a lost executor gives the same answer
-            F.min_by("_close", F.struct("_pd", "_close")).alias("first_close"),
-            F.max_by("_close", F.struct("_pd", "_close")).alias("last_close"),
-        )
+        .agg(F.min_by("_lo", "_from").alias("first_close"), F.max_by("_hi", "_to").alias("last_close"))
         .withColumnsRenamed({"_t": ticker_col, "_rd": report_col})
     )
 
 
+def daily_and_monthly(bars: DataFrame) -> DataFrame:
+    """Bars (_pt, _pd, _close) as one row per day and one per month: ticker,
+    month, kind (_month), first and last day, the close of each."""
+    daily = bars.groupBy("_pt", F.trunc("_pd", "month").alias("_pmb"), "_pd").agg(
+        F.when(F.count("_close") == F.count(F.lit(1)), F.min("_close")).alias("_lo"), F.max("_close").alias("_hi")
+    )
+    monthly = daily.groupBy("_pt", "_pmb").agg(
+        F.min("_pd").alias("_from"), F.max("_pd").alias("_to"), F.min_by("_lo", "_pd").alias("_lo"), F.max_by("_hi", "_pd").alias("_hi")
+    )
+    days = daily.select("_pt", "_pmb", F.lit(False).alias("_month"), F.col("_pd").alias("_from"), F.col("_pd").alias("_to"), "_lo", "_hi")
+    return days.unionByName(monthly.withColumn("_month", F.lit(True)))
+
+
 def add_price_change_class(
     facts: DataFrame,
     prices: DataFrame,

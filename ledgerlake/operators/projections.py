@@ -16,9 +16,36 @@ def clean_name(name: str) -> str:
     return name.strip().replace(" ", "_").replace("-", "_")
 
 
-def clean_column_names(df: DataFrame) -> DataFrame:
-    """PRJ1: rename every column by ``clean_name`` (metadata only)."""
-    return df.toDF(*[clean_name(c) for c in df.columns])
+def clean_names(names: Sequence[str], on_collision: str = "fail") -> list[str]:
+    """PRJ1 over a header.  Names that clean to the same one (Spark compares
+    them without case) fail, listing them; with ``on_collision='number'`` the
+    second and later ones get ``_2``, ``_3`` ..., skipping names in use."""
+    if on_collision not in ("fail", "number"):
+        raise ValueError(f"on_collision is 'fail' or 'number', not {on_collision!r}")
+    cleaned = [clean_name(n) for n in names]
+    groups: dict[str, list[str]] = {}
+    for raw, name in zip(names, cleaned):
+        groups.setdefault(name.lower(), []).append(raw)
+    clashes = {k: v for k, v in groups.items() if len(v) > 1}
+    if clashes and on_collision == "fail":
+        raise ValueError(f"columns clean to the same name: {clashes}")
+    used, out = set(groups), []
+    seen: set[str] = set()
+    for name in cleaned:
+        if name.lower() in seen:
+            n = 2
+            while f"{name}_{n}".lower() in used:
+                n += 1
+            name = f"{name}_{n}"
+            used.add(name.lower())
+        seen.add(name.lower())
+        out.append(name)
+    return out
+
+
+def clean_column_names(df: DataFrame, on_collision: str = "fail") -> DataFrame:
+    """PRJ1: rename every column by ``clean_names`` (metadata only)."""
+    return df.toDF(*clean_names(df.columns, on_collision))
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

@@ -30,7 +30,7 @@ from ledgerlake.functions.scalars import (
     transcript_key,
 )
 from ledgerlake.functions.text import sentiment_score, softmax_margin, text_measures
-from ledgerlake.operators.joins import attach_transcripts, merge_filings
+from ledgerlake.operators.joins import attach_transcripts, merge_filings, years_of
 from ledgerlake.operators.periods import decumulate, month_window, period_means
 from ledgerlake.operators.prices import add_price_change_class, window_closes
 from ledgerlake.operators.projections import union_all_by_name
@@ -38,8 +38,11 @@ from ledgerlake.operators.quality import duplicate_keys, missing_data_flags, nul
 from ledgerlake.operators.reshape import drop_sparse, pivot_wide
 from ledgerlake.operators.tags import keep_rollup_canonical, map_tags
 from ledgerlake import fixed
+from ledgerlake.plans.catalog_sources import CATALOG_SOURCES
 from ledgerlake.plans.dims import price_profile
 from ledgerlake.plans.filings import build_filings_fact
+from ledgerlake.plans.tables import date_text as _ds
+from ledgerlake.plans.tables import table as _t
 from ledgerlake.operators.projections import keep_members
 from ledgerlake.sources.calendar import calendar_for
 from ledgerlake.sources.files import harvest_transcripts, lookup_cik
@@ -48,38 +51,6 @@ from ledgerlake.sources.filings_json import explode_parallel
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# Schemas of the driver tables (identical at every scale factor).  Declaring
-# them skips the schema-inference job of each read, and the timestamps are
-# read as TIMESTAMP_NTZ whatever the session's inference setting.
-DRIVER_SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
-    "embeddings": "vec_id bigint, embedding array<float>, label int",
-    "pages": "page_id bigint, url string, html string",
-    "benchmark": "item_id bigint, text string",
-    "labels": "doc_id bigint, quality int, toxic int",
-    "conversations": "conv_id bigint, turn bigint, role string, text string",
-}
-
-
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, with its declared schema."""
-    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _ds(c) -> F.Column:
-    """Date text (ISO ``yyyy-MM-dd``) for output columns; a plain cast, which
-    avoids a pattern formatter per row."""
-    return F.to_date(c if not isinstance(c, str) else F.col(c)).cast("string")
-
-
 # Role mapping of event types to a two-parent tag hierarchy (SCL4 / FLT2).
 EVENT_HIERARCHY = {"engagement": ["click", "view"], "revenue": ["purchase"]}
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -360,10 +331,13 @@ def q_transcript_join(spark, sf):
     docs = _t(spark, sf, "documents")
     labels = _t(spark, sf, "labels")
     # Transcripts: labelled documents; quarter from the quality label, year from the id.
-    tr = docs.join(labels, "doc_id", "inner").select(
-        transcript_key("lang", F.col("quality") + 1, "doc_id").alias("transcriptID"),
-        *[c.alias(n) for n, c in text_measures("text", TEST_POSITIVE, TEST_NEGATIVE).items()],
-        sentiment_score("text", None).alias("SentimentScore"),
+    # Texts are measured where they are read, so only the measures cross the join.
+    measures = text_measures("text", TEST_POSITIVE, TEST_NEGATIVE)
+    measured = docs.select(
+        "doc_id", "lang", *[c.alias(n) for n, c in measures.items()], sentiment_score("text", None).alias("SentimentScore")
+    )
+    tr = measured.join(labels, "doc_id", "inner").select(
+        transcript_key("lang", F.col("quality") + 1, "doc_id").alias("transcriptID"), *measures, "SentimentScore"
     )
     facts = docs.select("doc_id", fact_transcript_key("lang", F.lit("Q1"), F.col("doc_id")).alias("transcriptID"))
     return attach_transcripts(facts, tr, "transcriptID")
@@ -634,8 +608,7 @@ def q_harvest(spark, sf):
         .otherwise(F.to_json(F.struct(F.max("o_orderpriority").alias("transcript"), _ds(F.max("o_orderdate")).alias("date"))))
         .alias("reply")
     )
-    years = sorted(r["year"] for r in o.select(F.year("o_orderdate").alias("year")).distinct().collect() if r["year"] is not None)
-    out = harvest_transcripts(tickers, replies, years)
+    out = harvest_transcripts(tickers, replies, years_of(o, "o_orderdate"))
     return out.select("ticker", F.col("year").cast("bigint").alias("year"), F.col("quarter").cast("bigint").alias("quarter"),
                       "transcriptID", "transcript", "date")
 
@@ -643,7 +616,7 @@ def q_harvest(spark, sf):
 SQL_HARVEST = """
 WITH g AS (
   SELECT 'C' || CAST(c_custkey AS VARCHAR) AS ticker, y AS year, q AS quarter
-  FROM customer, range(1995, 2002) r(y), range(1, 5) s(q)),
+  FROM customer, (SELECT DISTINCT year(o_orderdate) AS y FROM orders WHERE o_orderdate IS NOT NULL), range(1, 5) s(q)),
 r AS (
   SELECT 'C' || CAST(o_custkey AS VARCHAR) AS ticker, year(o_orderdate) AS year, quarter(o_orderdate) AS quarter,
          bool_or(o_orderstatus = 'P') AS pending, max(o_orderpriority) AS transcript,
@@ -865,3 +838,4 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "harvest": (q_harvest, SQL_HARVEST),
     "cik_lookup": (q_cik_lookup, SQL_CIK_LOOKUP),
 }
+CATALOG |= CATALOG_SOURCES

@@ -14,7 +14,8 @@ from ledgerlake.operators.periods import period_means
 from ledgerlake.operators.projections import keep_members
 from ledgerlake.sources.calendar import calendar_dim
 from ledgerlake.sources.files import read_price_change_dim
-from ledgerlake.sources.filings_json import company_descriptions
+from ledgerlake.operators.versions import newest
+from ledgerlake.sources.filings_json import LANDED_TIE, LANDED_TIME, company_descriptions
 
 
 def calendar_dimension(spark: SparkSession, start: str = fixed.CALENDAR_START, end: str = fixed.CALENDAR_END) -> DataFrame:
@@ -34,10 +35,16 @@ def company_dimension(
     cik_col: str = "CIK",
 ) -> DataFrame:
     """Descriptions of the companies whose constituent row is in ``tickers``:
-    one semi-join on the padded CIK instead of one request per company."""
+    one semi-join on the padded CIK instead of one request per company.
+
+    Documents that carry their landing order (``read_json_documents(...,
+    versions=True)``) are reduced to the newest one of each company."""
     chosen = industry_dimension(constituents, tickers, symbol_col).select(F.col(cik_col).alias("_cik"))
-    docs = submissions.withColumn("_cik", pad_cik("cik"))
-    return company_descriptions(docs.join(chosen, "_cik", "left_semi"))
+    kept = [c for c in [*fixed.COMPANY_KEYS, LANDED_TIME, LANDED_TIE] if c in submissions.columns]
+    docs = submissions.select(*kept, pad_cik("cik").alias("_cik")).join(chosen, "_cik", "left_semi")
+    if LANDED_TIME in kept:
+        docs = newest(docs, ["_cik"], LANDED_TIME, LANDED_TIE)
+    return company_descriptions(docs)
 
 
 def price_change_dimension(spark: SparkSession, path: str | None = None) -> DataFrame:

@@ -96,11 +96,15 @@ def build_filings_fact(
     fact = fact.withColumn("transcriptID", fact_transcript_key("ticker", "financialPeriod", report_year("reportDate")))
     if transcripts is None:
         return fact.withColumns({m: F.lit(None).cast("double" if m == "SentimentScore" else "bigint") for m in fixed.TRANSCRIPT_MEASURES})
-    # Only transcripts whose key occurs in the fact table can reach the output
-    # (left join from the facts), so the costly text measures run on those
-    # alone: a null-safe semi-join on the distinct fact keys comes first.
-    # The keys come from the written filing-level table: the normalisation
-    # changes no ticker, report date or row, only FY -> Q4.
+    if scorer_factory is None:
+        # Measured where the texts are read: only a few numbers per transcript
+        # cross the join, no text does.
+        return attach_transcripts(fact, transcript_measures(transcripts, None), "transcriptID")
+    # A model costs more per text than its shuffle, so only transcripts whose
+    # key occurs in the fact table are scored: a null-safe semi-join on the
+    # distinct fact keys comes first.  The keys come from the written
+    # filing-level table: the normalisation changes no ticker, report date or
+    # row, only FY -> Q4.
     keyed = transcripts.withColumn("_tid", transcript_key("ticker", "quarter", "year"))
     wanted = joined.select(
         fact_transcript_key("ticker", full_year_as_q4("financialPeriod"), report_year("reportDate")).alias("_want")

@@ -63,7 +63,7 @@ def dimension_job(spark: SparkSession, landing: str, out: str, tickers: Sequence
     constituents_path = f"{landing}/constituents.csv"
     if _exists(spark, constituents_path):
         constituents = read_constituents(spark, constituents_path)
-        submissions = read_json_documents(spark, f"{landing}/submissions", SUBMISSIONS_SCHEMA)
+        submissions = read_json_documents(spark, f"{landing}/submissions", SUBMISSIONS_SCHEMA, versions=True)
         members = list(tickers) if tickers else submissions.select("ticker").distinct()
         write_table(industry_dimension(constituents, members), f"{out}/dimIndustry")
         write_table(company_dimension(submissions, constituents, members), f"{out}/dimCompany")

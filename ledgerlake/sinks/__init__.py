@@ -1,5 +1,6 @@
 """Sinks (SNK1-SNK5)."""
 
+from ledgerlake.sinks.publish import PublishError, Version, current, publish, read_published, remove_unpublished
 from ledgerlake.sinks.tables import (
     export_csv,
     write_fact_table,

@@ -38,17 +38,24 @@ def write_validation_table(df: DataFrame, path: str, mode: str = "overwrite") ->
     write_table(df, path, mode)
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """SNK4: CSV export with a header; white space is kept, quotes are doubled."""
-    _csv(df.write.mode(mode)).csv(path)
+def export_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 1_000_000) -> None:
+    """SNK4: CSV export with a header; white space is kept, quotes are doubled.
 
+    Rows are rebalanced by size (adaptive execution merges small partitions
+    and splits large ones), and no file has more than ``rows_per_file`` rows."""
+    _csv(df.hint("rebalance").write.mode(mode)).option("maxRecordsPerFile", rows_per_file).csv(path)
 
-def write_transcripts(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+
+def write_transcripts(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = 5_000) -> None:
     """SNK5: one CSV directory per ticker (``ticker=<T>``), every field quoted
-    so multi-line text survives; ``read_transcripts`` reads it back.  Rows are
-    dealt out by ticker and year, so a ticker gets a file per year at most."""
-    by_ticker = df.repartition("ticker", "year")
-    _csv(by_ticker.write.mode(mode).partitionBy("ticker")).option("quoteAll", True).csv(path)
+    so multi-line text survives; ``read_transcripts`` reads it back.
+
+    Rows are rebalanced by ticker and size: small tickers share a task, so each
+    gets one file, and a hot ticker is split over tasks by its size, and over
+    files of ``rows_per_file`` rows."""
+    by_ticker = df.hint("rebalance", F.col("ticker"))
+    writer = _csv(by_ticker.write.mode(mode).partitionBy("ticker")).option("quoteAll", True)
+    writer.option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def _csv(writer: DataFrameWriter) -> DataFrameWriter:

@@ -57,7 +57,7 @@ def test_price_window_joins_on_month_bucket(spark, scratch):
         plan = _plan(window_closes(facts, prices))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert re.search(r"SortMergeJoin \[_t#\d+, _mb#\d+\], \[_pt#\d+, _pmb#\d+\], Inner", plan)
+    assert re.search(r"SortMergeJoin \[_t#\d+, _mb#\d+, _whole#\d+\], \[_pt#\d+, _pmb#\d+, _month#\d+\], Inner", plan)
     assert "partial_min_by" in plan or "partial_min" in plan
 
 
@@ -82,3 +82,47 @@ def test_harvest_takes_the_years_of_the_orders(spark, tmp_path):
     orders.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
     spark.catalog.clearCache()
     assert q_harvest(spark, str(tmp_path)).count() == 0
+
+
+def test_price_windows_use_hash_aggregates_and_one_scan(spark, scratch):
+    """Daily bars and monthly summaries come from one scan and one shuffle of
+    the prices; no aggregate sorts."""
+    bars = spark.range(3000).select(
+        (F.col("id") % 3).cast("string").alias("ticker"), F.expr("date'2020-01-01' + cast(id div 3 % 700 as int)").alias("date"), F.col("id").cast("double").alias("close")
+    )
+    bars.write.parquet(f"{scratch}/bars")
+    bars.select("ticker", F.last_day("date").alias("reportDate")).distinct().write.parquet(f"{scratch}/windows")
+    out = window_closes(spark.read.parquet(f"{scratch}/windows"), spark.read.parquet(f"{scratch}/bars"))
+    rows = out.collect()
+    plan = _plan(out)
+    plan = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert "SortAggregate" not in plan and "ReusedExchange" in plan
+    assert len(re.findall(r"FileScan parquet \[ticker[^\]]*,close", plan)) == 1
+    by_day = {}
+    for r in bars.collect():
+        by_day.setdefault((r.ticker, r.date), []).append(r.close)
+    import datetime as dt
+
+    for r in rows:
+        m = r.reportDate.month - 3
+        first = dt.date(r.reportDate.year - (m < 1), (m - 1) % 12 + 1, 1)
+        last_of = (first.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+        start = min(first.replace(day=min(r.reportDate.day, last_of.day)), last_of)
+        days = sorted(d for (t, d) in by_day if t == r.ticker and start <= d < r.reportDate)
+        assert (r.first_close, r.last_close) == (min(by_day[r.ticker, days[0]]), max(by_day[r.ticker, days[-1]]))
+
+
+def test_building_harvest_and_transcript_queries_runs_no_job(spark):
+    """Building a query is planning only; no text crosses an exchange."""
+    from ledgerlake.plans.catalog import CATALOG
+    from tests.conftest import SF001
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    for name in ("harvest", "transcript_join", "price_window", "company_facts"):
+        CATALOG[name][0](spark, SF001)
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("other", "other")
+    plan = _plan(CATALOG["transcript_join"][0](spark, SF001))
+    for block in plan.split("Exchange")[1:]:
+        assert not re.match(r"[^\n]*text#", block)
