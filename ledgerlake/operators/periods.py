@@ -11,10 +11,11 @@ of the following bucket from a small table of bucket heads (one row per
 partition and bucket).  The big side is shuffled once; the join that brings
 in the heads reuses that partitioning.
 
-AGG2 aggregates before it joins: monthly sums and counts (partial aggregation
-map-side), quarter figures from those monthly rows, then one join of the
-detail rows to the small statistics table.  A hot key is split by AQE's skew
-join or broadcast when the statistics table is measured small.
+AGG2 aggregates before it joins: one row per key and quarter with the sums and
+counts of its three months (one hash aggregate, combined map-side), then one
+join of the detail rows to that table on the same key.  The statistics are
+shuffled once and the detail once, or not at all where the table is measured
+small; a hot key is split by AQE's skew join.
 """
 
 from __future__ import annotations
@@ -173,31 +174,34 @@ def period_means(
     primitive longs instead of arbitrary-precision decimals.
     """
     d = F.to_date(F.col(date_col))
-    base = df.withColumns({"_y": F.year(d), "_m": F.month(d)})
-    v = F.col(value_col)
+    # Struct key: never null, null fields compare as equal, and the aggregate's
+    # partitioning on it serves the join.
+    key = F.struct(*key_cols, F.year(d).alias("_y"), F.quarter(d).alias("_q"))
+    base = df.withColumns({"_k": key, "_slot": F.coalesce((F.month(d) - 1) % 3, F.lit(0))})  # rows without a date are a group
+    v = F.col(value_col).cast("double")
+    unit = 1.0
     if decimal_scale is not None:
         unit = float(10**decimal_scale)
-        total = F.sum(F.round(v.cast("double") * unit).cast("bigint"))
-    else:
-        unit, total = 1.0, F.sum(v.cast("double"))
-    monthly = (
-        base.groupBy(*key_cols, "_y", "_m")
-        .agg(total.alias("_s"), F.count(v).alias("_n"))
-        .withColumn("_q", F.ceil(F.col("_m") / 3))
+        v = F.round(v * unit).cast("bigint")
+    # One row per quarter, with sum and count of each of its three months.
+    months = range(3)
+    of_month = [F.when(F.col("_slot") == i, v) for i in months]
+    stats = base.groupBy("_k").agg(
+        *[F.sum(of_month[i]).alias(f"_s{i}") for i in months], *[F.count(of_month[i]).alias(f"_n{i}") for i in months]
     )
-    wq = Window.partitionBy(*key_cols, "_y", "_q")
 
-    def mean(s: Column, n: Column) -> Column:
-        return F.when(n > 0, s.cast("double") / unit / n)
+    def mean(total: Column, n: Column) -> Column:
+        return F.when(n > 0, total.cast("double") / unit / n)
 
-    stats = monthly.select(
-        *key_cols,
-        "_y",
-        "_m",
-        mean(F.col("_s"), F.col("_n")).alias(month_out),
-        mean(F.sum("_s").over(wq), F.sum("_n").over(wq)).alias(quarter_out),
+    zero = F.lit(0)
+    whole = sum((F.coalesce(F.col(f"_s{i}"), zero) for i in months), zero)
+    stats = stats.select(
+        "_k",
+        F.array(*[mean(F.col(f"_s{i}"), F.col(f"_n{i}")) for i in months]).alias("_months"),
+        mean(whole, sum((F.col(f"_n{i}") for i in months), zero)).alias(quarter_out),
     )
-    return null_safe_join(base, stats, [*key_cols, "_y", "_m"], "left").drop("_y", "_m")
+    out = base.join(stats, "_k", "left").withColumn(month_out, F.get("_months", F.col("_slot")))
+    return out.select(*df.columns, month_out, quarter_out)
 
 
 def start_presence(df: DataFrame, group_cols: Sequence[str], start_col: str = "start", out_col: str = "_has_start") -> DataFrame:

@@ -33,13 +33,13 @@ from ledgerlake.functions.text import sentiment_score, softmax_margin, text_meas
 from ledgerlake.operators.joins import attach_transcripts, merge_filings, years_of
 from ledgerlake.operators.periods import decumulate, month_window, period_means
 from ledgerlake.operators.prices import add_price_change_class, window_closes
-from ledgerlake.operators.projections import union_all_by_name
+from ledgerlake.operators.projections import distinct_rows, rows_with_nulls, union_all_by_name
 from ledgerlake.operators.quality import duplicate_keys, missing_data_flags, null_counts, validate
 from ledgerlake.operators.reshape import drop_sparse, pivot_wide
 from ledgerlake.operators.tags import keep_rollup_canonical, map_tags
 from ledgerlake import fixed
 from ledgerlake.plans.catalog_sources import CATALOG_SOURCES
-from ledgerlake.plans.dims import price_profile
+from ledgerlake.plans.dims import price_change_dimension, price_profile
 from ledgerlake.plans.filings import build_filings_fact
 from ledgerlake.plans.tables import date_text as _ds
 from ledgerlake.plans.tables import table as _t
@@ -806,6 +806,77 @@ FROM fact f LEFT JOIN tr ON f.transcriptID IS NOT DISTINCT FROM tr.transcriptID
 SQL_FILINGS_FACT = _sql_filings_fact()
 
 
+# -- SRC9 with SCL8: classes named by the static dimension -----------------------
+def q_class_names(spark, sf):
+    names = price_change_dimension(spark).select(
+        F.col("ID").cast("bigint").alias("stockPriceChange"), F.col("Intensity").alias("intensity"), F.col("Full Category Name").alias("category")
+    )
+    # The shipped dimension has seven rows.
+    return q_classify(spark, sf).join(F.broadcast(names), "stockPriceChange", "left").groupBy("category", "intensity").agg(
+        F.count(F.lit(1)).alias("reports"), F.countDistinct("ticker").alias("tickers")
+    )
+
+
+SQL_CLASS_NAMES = f"""
+WITH k AS ({SQL_CLASSIFY}), n(id, intensity, category) AS (VALUES
+  (1, 'Large', 'Large negative change'), (2, 'Medium', 'Medium negative change'), (3, 'Small', 'Small negative change'), (4, NULL, 'No change'),
+  (5, 'Small', 'Small positive change'), (6, 'Medium', 'Medium positive change'), (7, 'Large', 'Large positive change'))
+SELECT category, intensity, count(*) AS reports, count(DISTINCT ticker) AS tickers FROM k LEFT JOIN n ON id = "stockPriceChange" GROUP BY ALL
+"""
+
+
+# -- JON2 + FLT4 on two keys -----------------------------------------------------
+# A customer's filings share an accession, so the filing date decides.  Lines
+# returned ('R') were filed on their ship date, the others with the order.
+def q_filing_merge_keys(spark, sf):
+    o = _t(spark, sf, "orders")
+    filings = o.select(
+        F.col("o_custkey").alias("accessionNumber"), F.to_date("o_orderdate").alias("filingDate"), F.col("o_orderkey").alias("filing"),
+        F.add_months(F.to_date("o_orderdate"), 1).alias("reportDate"),
+    )
+    lines = _t(spark, sf, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    facts = lines.select(
+        F.col("o_custkey").alias("accessionNumber"),
+        F.when(F.col("l_returnflag") == "R", F.to_date("l_shipdate")).otherwise(F.to_date("o_orderdate")).alias("filingDate"),
+        "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), F.to_date("l_shipdate").alias("endDate"), "l_quantity",
+    )
+    m = merge_filings(facts, filings, filing_columns=("accessionNumber", "filingDate", "filing", "reportDate"))
+    return m.select("accessionNumber", _ds("filingDate").alias("filingDate"), "filing", "l_orderkey", "l_linenumber", _ds("endDate").alias("endDate"), "l_quantity")
+
+
+SQL_FILING_MERGE_KEYS = """
+WITH f AS (
+  SELECT o_custkey AS a, CAST(CASE WHEN l_returnflag = 'R' THEN l_shipdate ELSE o_orderdate END AS DATE) AS d, l_orderkey, l_linenumber, l_shipdate, l_quantity
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT o_custkey AS "accessionNumber", strftime(d, '%Y-%m-%d') AS "filingDate", o_orderkey AS filing, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       strftime(l_shipdate, '%Y-%m-%d') AS "endDate", l_quantity
+FROM orders JOIN f ON o_custkey = a AND CAST(o_orderdate AS DATE) = d
+WHERE year(l_shipdate) = year(CAST(o_orderdate AS DATE) + INTERVAL 1 MONTH)
+"""
+
+
+# -- AGG7, FLT5, AGG5 on columns that do have nulls --------------------------------
+def q_pivot_nulls(spark, sf):
+    return null_counts(_event_pivot(spark, sf), EVENT_TYPES)
+
+
+SQL_PIVOT_NULLS = f"""
+SELECT {", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in EVENT_TYPES)} FROM ({SQL_EVENT_PIVOT}) p
+"""
+
+
+def q_null_rows(spark, sf):
+    rows = rows_with_nulls(_event_pivot(spark, sf), ["click", "purchase"])
+    flags = rows.select("user_id", F.col("click").isNull().alias("no_click"), F.col("purchase").isNull().alias("no_purchase"), F.col("view").isNull().alias("no_view"))
+    return distinct_rows(flags)
+
+
+SQL_NULL_ROWS = f"""
+SELECT DISTINCT user_id, click IS NULL AS no_click, purchase IS NULL AS no_purchase, view IS NULL AS no_view
+FROM ({SQL_EVENT_PIVOT}) p WHERE click IS NULL OR purchase IS NULL
+"""
+
+
 CATALOG: dict[str, tuple[Query, str | None]] = {
     "tag_rollup": (q_tag_rollup, SQL_TAG_ROLLUP),
     "canonical_tags": (q_canonical_tags, SQL_CANONICAL_TAGS),
@@ -837,5 +908,9 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "member_filter": (q_member_filter, SQL_MEMBER_FILTER),
     "harvest": (q_harvest, SQL_HARVEST),
     "cik_lookup": (q_cik_lookup, SQL_CIK_LOOKUP),
+    "class_names": (q_class_names, SQL_CLASS_NAMES),
+    "filing_merge_keys": (q_filing_merge_keys, SQL_FILING_MERGE_KEYS),
+    "pivot_nulls": (q_pivot_nulls, SQL_PIVOT_NULLS),
+    "null_rows": (q_null_rows, SQL_NULL_ROWS),
 }
 CATALOG |= CATALOG_SOURCES

@@ -261,8 +261,8 @@ def prices_for_windows(
 
     The tickers of the reports prune the table's partitions at run time
     (dynamic partition pruning of the semi-join).  The first and last day that
-    any window needs are scalar subqueries on the date, which Spark hands to
-    the Parquet scan as data filters; ``window_closes`` tests the windows."""
+    any window needs are scalar subqueries on the date, so no job runs while
+    the plan is built; ``window_closes`` tests the windows themselves."""
     windows = reports.select(F.col(report_ticker_col).alias("_t"), F.to_date(F.col(report_col)).alias("_rd")).dropna()
     first = windows.agg(F.min(minus_months("_rd", months))).scalar()
     last = windows.agg(F.max("_rd")).scalar()

@@ -126,3 +126,29 @@ def test_building_harvest_and_transcript_queries_runs_no_job(spark):
     plan = _plan(CATALOG["transcript_join"][0](spark, SF001))
     for block in plan.split("Exchange")[1:]:
         assert not re.match(r"[^\n]*text#", block)
+
+
+def test_period_means_shuffle_statistics_and_detail_once(spark, scratch):
+    from ledgerlake.operators import period_means
+
+    rows = [(None if i % 5 == 0 else f"T{i % 4}", f"2024-{1 + i % 12:02d}-11", None if i % 7 == 0 else float(i)) for i in range(400)] + [("T1", None, 5.0)]
+    df = _parquet(spark, scratch, rows, "ticker string, date string, v double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = period_means(df, ["ticker"], "date", "v")
+        plan = _plan(out)
+        got = [tuple(r) for r in out.collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 2 and "Window" not in plan and "SortAggregate" not in plan and "partial_sum" in plan
+
+    def mean(ticker, months):
+        own = [v for t, d, v in rows if t == ticker and v is not None and (int(d[5:7]) if d else None) in months]
+        return sum(own) / len(own) if own else None
+
+    for t, d, _v, month, quarter in got:
+        m = int(d[5:7]) if d else None
+        assert month == mean(t, {m})
+        want = mean(t, set(range((m - 1) // 3 * 3 + 1, (m - 1) // 3 * 3 + 4)) if m else {None})
+        assert quarter == want or abs(quarter - want) < 1e-9
+    assert len(got) == len(rows)
