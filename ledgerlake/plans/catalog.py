@@ -203,6 +203,43 @@ FROM n
 """
 
 
+# -- WIN1 along filing lists ------------------------------------------------------
+# A nation is a company with the lists of all its customers, one list after the
+# other; the position in a list counts days back from 2100 (newest first).
+# Urgent orders are on a second list of the customer, too, so accessions repeat.
+def q_decumulate_lists(spark, sf):
+    c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    o = _t(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    q = F.quarter("o_orderdate")
+    listed = o.select(
+        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("ticker"),
+        F.explode(F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.lit("C"), F.lit("Z"))).otherwise(F.array(F.lit("C")))).alias("list"),
+        "o_custkey", F.datediff(F.lit("2100-01-01"), F.to_date("o_orderdate")).cast("bigint").alias("filing_pos"),
+        F.when(q == 4, F.lit("FY")).otherwise(F.concat(F.lit("Q"), q.cast("string"))).alias("financialPeriod"),
+        F.to_date("o_orderdate").alias("filingDate"), F.to_date("o_orderdate").alias("endDate"),
+        F.concat(F.lit("A"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0")).alias("accessionNumber"), F.col("o_totalprice").alias("v"),
+    )
+    listed = listed.withColumn("filing_ticker", F.concat("list", F.col("o_custkey").cast("string"))).drop("list", "o_custkey")
+    out = decumulate(listed, value_cols=["v"])
+    return out.select("ticker", "filing_ticker", "filing_pos", "accessionNumber", "financialPeriod", "v")
+
+
+SQL_DECUMULATE_LISTS = """
+WITH l AS (
+  SELECT 'N' || c_nationkey AS ticker, unnest(CASE WHEN o_orderpriority = '1-URGENT' THEN ['C', 'Z'] ELSE ['C'] END) || o_custkey AS filing_ticker,
+         CAST(DATE '2100-01-01' - CAST(o_orderdate AS DATE) AS BIGINT) AS filing_pos, CASE WHEN quarter(o_orderdate) = 4 THEN 'FY' ELSE 'Q' || quarter(o_orderdate) END AS fp,
+         'A' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS accession, o_totalprice AS v
+  FROM orders JOIN customer ON o_custkey = c_custkey
+), n AS (
+  SELECT *, lead(fp) OVER w AS nfp, lead(v) OVER w AS nv FROM l
+  WINDOW w AS (PARTITION BY ticker ORDER BY filing_ticker, filing_pos, fp, accession)
+)
+SELECT ticker, filing_ticker, filing_pos, accession AS "accessionNumber", CASE WHEN fp = 'FY' THEN 'Q4' ELSE fp END AS "financialPeriod",
+       CASE WHEN fp IN ('Q2', 'Q3', 'FY') AND nfp IN ('Q1', 'Q2', 'Q3') AND v IS NOT NULL AND nv IS NOT NULL THEN v - nv ELSE v END AS v
+FROM n
+"""
+
+
 # -- JON4 + AGG3 + SCL6 ------------------------------------------------------
 def _supplier_prices(spark, sf):
     # light per-row work (two partial aggregates): not worth a redistribution
@@ -908,6 +945,7 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "member_filter": (q_member_filter, SQL_MEMBER_FILTER),
     "harvest": (q_harvest, SQL_HARVEST),
     "cik_lookup": (q_cik_lookup, SQL_CIK_LOOKUP),
+    "decumulate_lists": (q_decumulate_lists, SQL_DECUMULATE_LISTS),
     "class_names": (q_class_names, SQL_CLASS_NAMES),
     "filing_merge_keys": (q_filing_merge_keys, SQL_FILING_MERGE_KEYS),
     "pivot_nulls": (q_pivot_nulls, SQL_PIVOT_NULLS),
