@@ -208,7 +208,10 @@ def _grow(table: dict[str, np.ndarray], poor: np.ndarray, most_tests: int) -> Ru
                     best = (float(gain[i]), (name, kind, float(cuts[i])))
         if best[1] is None:
             break
-        rule.tests.append(best[1])
+        # Halfway to the next value: a text between the two kinds is not judged by the last one seen.
+        name, kind, cut = best[1]
+        above = table[name][inside & (table[name] > cut)]
+        rule.tests.append((name, kind, (cut + float(above.min())) / 2 if len(above) else cut))
         inside = rule.covers(table)
     return rule
 
