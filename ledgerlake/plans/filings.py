@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import fixed
 from ledgerlake.functions.scalars import fact_transcript_key, full_year_as_q4, parse_date, report_year, transcript_key
+from ledgerlake.functions.text import add_text_measures
 from ledgerlake.operators.joins import attach_transcripts, merge_filings
 from ledgerlake.operators.periods import decumulate
 from ledgerlake.operators.prices import add_price_change_class
@@ -25,6 +26,7 @@ from ledgerlake.operators.reshape import pivot_facts
 from ledgerlake.operators.tags import clean_facts, keep_rollup_canonical
 from ledgerlake.session import materialize
 from ledgerlake.sinks.tables import write_fact_table, write_validation_table
+from ledgerlake.sources.files import bad_files, good_transcripts
 from ledgerlake.streaming.landing import transcript_measures
 
 
@@ -46,6 +48,18 @@ def add_stock_price_dim(df: DataFrame, prices: DataFrame, price_ticker_col: str
     return classed.select(*fixed.FACT_COLUMNS)
 
 
+def measure_scan(scan: DataFrame, scorer_factory=None) -> tuple[DataFrame, DataFrame]:
+    """Measures and problems of a transcript folder from one pass over its
+    texts: (transcriptID + measures of the good files, report of the bad ones).
+
+    ``scan`` is ``scan_transcripts``.  Both results are read from one written
+    table of a few numbers per transcript, so no text is read twice."""
+    key = transcript_key("ticker", "quarter", "year").alias("transcriptID")
+    measured = add_text_measures(scan, "transcript", scorer_factory)
+    table = materialize(measured.select(key, *fixed.TRANSCRIPT_MEASURES, "source_path", "problem"), "transcript_measures")
+    return good_transcripts(table), bad_files(table)
+
+
 def build_filings_fact(
     facts_long: DataFrame,
     filings: DataFrame,
@@ -57,12 +71,14 @@ def build_filings_fact(
     bucket_ascending: bool = True,
     orientation: str = "reference",
     cut_lineage: bool = True,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """PIP1: the 25-column fact table.
 
     ``facts_long``: rows of ``company_facts_rows``; ``filings``: rows of
     ``filings_rows``; ``prices``: daily bars (ticker, Date, Close);
-    ``transcripts``: rows of ``read_transcripts`` (or None: all measures null).
+    ``transcripts``: rows of ``read_transcripts`` (or None: all measures null);
+    ``measured``: transcripts that are measured already (``measure_scan``).
     ``bucket``: split of a ticker for the normalisation window (see
     ``periods.decumulate``); "auto" splits by the filing list position in
     blocks of 256, or by the filing month when there is no list position.
@@ -94,6 +110,8 @@ def build_filings_fact(
     )
     fact = normalized.select(*fixed.FACT_COLUMNS)
     fact = fact.withColumn("transcriptID", fact_transcript_key("ticker", "financialPeriod", report_year("reportDate")))
+    if measured is not None:
+        return attach_transcripts(fact, measured, "transcriptID")
     if transcripts is None:
         return fact.withColumns({m: F.lit(None).cast("double" if m == "SentimentScore" else "bigint") for m in fixed.TRANSCRIPT_MEASURES})
     if scorer_factory is None:

@@ -14,7 +14,8 @@ Landing layout (any of the inputs may be absent where noted)::
 
 Output (the star schema): ``<out>/FillingsFact``, ``<out>/ValidationMissingData``,
 ``<out>/dimCalendar``, ``<out>/dimCompany``, ``<out>/dimIndustry``,
-``<out>/dimStockPriceChange``.
+``<out>/dimStockPriceChange``; and ``<out>/TranscriptProblems``, the report of
+unreadable transcript files.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.session import apply_scale_defaults
 from ledgerlake.plans.dims import calendar_dimension, company_dimension, industry_dimension, price_change_dimension
-from ledgerlake.plans.filings import build_filings_fact, run_filings_job
+from ledgerlake.plans.filings import build_filings_fact, measure_scan, run_filings_job
 from ledgerlake.sinks.tables import write_table
 from ledgerlake.sources.filings_json import SUBMISSIONS_SCHEMA, read_company_facts, read_filings, read_json_documents
-from ledgerlake.sources.files import read_constituents, read_prices, read_transcripts
+from ledgerlake.sources.files import read_constituents, read_prices, scan_transcripts
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -40,17 +41,30 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
-def fact_job(spark: SparkSession, landing: str, out: str, tickers: Sequence[str] | None = None, validation_mode: str = "overwrite") -> DataFrame:
+def fact_job(
+    spark: SparkSession, landing: str, out: str, tickers: Sequence[str] | None = None, validation_mode: str = "overwrite",
+    skip_bad_transcripts: bool = True,
+) -> DataFrame:
     """Fact chain: facts + filings + prices + transcripts -> validated fact
-    table and missing-data table.  Returns the rule report."""
+    table and missing-data table.  Returns the rule report.
+
+    Unreadable transcript files are left out, as in the original, and listed
+    with their problem in ``<out>/TranscriptProblems``; with
+    ``skip_bad_transcripts=False`` the first one fails the job."""
     facts = read_company_facts(spark, f"{landing}/companyfacts")
     filings = read_filings(spark, f"{landing}/submissions")
     if tickers:
         facts = facts.filter(facts["ticker"].isin(list(tickers)))
         filings = filings.filter(filings["ticker"].isin(list(tickers)))
     prices = read_prices(spark, f"{landing}/prices", tickers)
-    transcripts = read_transcripts(spark, f"{landing}/transcripts") if _exists(spark, f"{landing}/transcripts") else None
-    fact = build_filings_fact(facts, filings, prices, transcripts)
+    measured = None
+    if _exists(spark, f"{landing}/transcripts"):
+        measured, problems = measure_scan(scan_transcripts(spark, f"{landing}/transcripts"))
+        write_table(problems, f"{out}/TranscriptProblems")
+        first = None if skip_bad_transcripts else problems.first()
+        if first is not None:
+            raise ValueError(f"{first['problem']} in {first['source_path']}")
+    fact = build_filings_fact(facts, filings, prices, None, measured=measured)
     return run_filings_job(fact, f"{out}/FillingsFact", f"{out}/ValidationMissingData", validation_mode)
 
 

@@ -233,7 +233,7 @@ def test_fact_build_end_to_end(spark, scratch):
 
 def test_jobs_over_landing_zone(spark, scratch):
     """The spark-submit job: landing zone -> fact, validation and dimensions."""
-    from ledgerlake.plans.jobs import main
+    from ledgerlake.plans.jobs import fact_job, main
 
     land, out = f"{scratch}/landing", f"{scratch}/star"
     tags = {}
@@ -247,8 +247,13 @@ def test_jobs_over_landing_zone(spark, scratch):
     tr = spark.createDataFrame([("MSFT", 2024, 1, "2024-Q1-MSFT", "record growth", "2024-04-30")],
                                "ticker string, year int, quarter int, transcriptID string, transcript string, date string")
     write_transcripts(tr, f"{land}/transcripts")
+    _write(f"{land}/transcripts/ticker=MSFT/bad.csv", "year,quarter\n2024,1\n")
     _write(f"{land}/constituents.csv", "Symbol,Security,CIK\nMSFT,Microsoft,789019\nXOM,Exxon,34088\n")
     main([land, out])
+    problems = spark.read.parquet(f"{out}/TranscriptProblems").collect()
+    assert [(r.source_path.rsplit("/", 1)[1], r.problem) for r in problems] == [("bad.csv", "missing columns: transcriptID, transcript, date")]
+    with pytest.raises(ValueError, match="missing columns.*bad.csv"):
+        fact_job(spark, land, out, skip_bad_transcripts=False)
     fact = spark.read.parquet(f"{out}/FillingsFact").collect()
     assert len(fact) == 1 and fact[0].stockPriceChange == 4 and fact[0].PositiveWordCount == 2
     assert spark.read.parquet(f"{out}/dimCalendar").count() == 7670
