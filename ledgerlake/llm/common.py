@@ -173,7 +173,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.
     return mix(out)
 
 
-def text_slices(column, most_bytes: int = 1 << 22) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column, most_bytes: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices (from row, to row, bytes, row offsets) of an Arrow string
     column, of about ``most_bytes`` each but one text at least."""
     import pyarrow as pa

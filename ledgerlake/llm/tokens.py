@@ -33,8 +33,8 @@ BLOCK, PERCENTILE = 1024, 90
 MAGIC = b"PFORIDS1"
 END_ID = 2
 #: Pieces of text that one generation of a worker's memory holds at most, and
-#: the longest one it keeps (about 20 MB a generation).
-MOST_PIECES, LONGEST_PIECE = 150_000, 64
+#: the longest one it keeps (about 15 MB a generation).
+MOST_PIECES, LONGEST_PIECE = 100_000, 64
 
 
 # --- text to ids --------------------------------------------------------------

@@ -155,8 +155,11 @@ def contamination(
 
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the contaminated ones, with their own columns.  Rows
-    that share an id (null included) stay or go together."""
+    that share an id (null included) stay or go together.  The ids that go are
+    written first, so their size is known and texts are shuffled only where
+    they are too many to broadcast."""
     found = contamination(docs, items, id_col=id_col, **options).where("contaminated").select(F.col(id_col).alias("_gone")).distinct()
+    found = keep(found, "window-contaminated")
     return docs.join(found, docs[id_col].eqNullSafe(found["_gone"]), "left_anti")
 
 
