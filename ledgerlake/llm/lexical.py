@@ -33,7 +33,7 @@ from ledgerlake.llm.common import ALNUM_WORD, fresh_path, keep, load, text_slice
 
 TOP = 20
 #: Items searched at once, about; bytes of text of an index block, about.
-ITEMS, BLOCK_BYTES = 512, 1 << 22
+ITEMS, BLOCK_BYTES = 512, 1 << 21
 
 
 # --- index ----------------------------------------------------------------------
