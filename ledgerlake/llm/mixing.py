@@ -25,7 +25,6 @@ WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 BITS, HALF = 10, 6  # a key is two numbers of 6 digits of 10 bits each
 LEVELS = 2 * HALF
-PASSES = 8
 #: A mix is over named sources; more than this is refused, since one row per
 #: source is held by the driver and broadcast.
 MOST_SOURCES = 100_000
@@ -85,7 +84,7 @@ def budgets(rows: DataFrame, weights: tuple, most: int) -> DataFrame:
     names, takes = [r["source"] for r in sums], [[] for _ in sums]
     low = [(0, 0)] * len(sums)
     laps = [most - w for w in whole]  # times that a document can be taken once more
-    for _ in range(PASSES):
+    while True:  # each pass fills a gap, skips a document that is too large for it, or ends a lap
         open_ = [i for i, gap in enumerate(gaps) if gap > 0 and laps[i] > 0]
         if not open_:
             break
