@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,27 +60,69 @@ def ascii_lower(text: Column) -> Column:
 
 # --- spans found by regular expressions, JVM-side ---------------------------
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row, wherever and
+    however often ``use`` refers to it (also inside lambdas)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running_sums(values: Column, block: int = 256) -> Column:
+    """Inclusive running sums of an array of ints.  Appending to an array
+    copies it, so sums are built in blocks, and the blocks' starts apart: the
+    work is linear in the array, up to a constant of about ``block``."""
+    none = F.expr("cast(array() as array<int>)")
+
+    def append(acc: Column, x: Column, y: Column) -> Column:
+        return F.struct((acc["at"] + x).alias("at"), F.array_append(acc["all"], y).alias("all"))
+
+    def state(at: Column) -> Column:
+        return F.struct(at.alias("at"), none.alias("all"))
+
+    def inside(values: Column, start: Column) -> Column:
+        return F.aggregate(values, state(start), lambda acc, x: append(acc, x, acc["at"] + x), lambda acc: acc["all"])
+
+    def joined(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda acc, x: acc + x))
+        starts = F.aggregate(totals, state(F.lit(0)), lambda acc, t: append(acc, t, acc["at"]), lambda acc: acc["all"])
+        return F.flatten(F.zip_with(blocks, starts, inside))
+
+    def cut(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / block).cast("int"))
+        return F.when(F.size(v) == 0, none).otherwise(bound(F.transform(numbers, lambda i: F.slice(v, i * block + 1, F.lit(block))), joined))
+
+    return bound(values, cut)
+
+
 def spans_of(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches of ``pattern`` (never empty ones) as
     ``array<struct<start,end,hit>>`` in code points, end exclusive.
 
     ``split`` gives the gaps before, between and after the matches, so match i
-    starts at the summed lengths of the gaps up to i and of the matches before.
+    ends at the running sum of the lengths of gaps and matches up to i.
     """
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(
-        F.slice(gaps, 1, F.size(hits)), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit"))
-    )
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,hit:string>>)")
+    def placed(hits: Column, gaps: Column) -> Column:
+        lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda gap, hit: F.length(gap) + F.length(hit))
+        return F.zip_with(hits, running_sums(lengths), lambda hit, end: F.struct(
+            (end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit")
+        ))
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return bound(found, lambda hits: bound(F.split(text, pattern, -1), lambda gaps: placed(hits, gaps)))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(0)) + x["gap"]
-        return F.concat(
-            acc, F.array(F.struct(start.alias("start"), (start + F.length(x["hit"])).alias("end"), x["hit"].alias("hit")))
-        )
 
-    return F.aggregate(pairs, empty, step)
+def spans_before(spans: Column, name: str, limit: Column, or_equal: bool = False) -> Column:
+    """How many ``spans`` (ascending in the field ``name``) lie below
+    ``limit`` (at it, too, with ``or_equal``): a binary search.  ``spans`` must
+    be a column or a lambda variable, as each step looks at it."""
+    def step(acc: Column, _i: Column) -> Column:
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        value = F.get(spans, mid)[name]
+        right = (acc["lo"] < acc["hi"]) & ((value <= limit) if or_equal else (value < limit))
+        return F.struct(F.when(right, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(right | (acc["lo"] >= acc["hi"]), acc["hi"]).otherwise(mid).alias("hi"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+    whole = F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi"))
+    return F.when(F.size(spans) == 0, F.lit(0)).otherwise(F.aggregate(steps, whole, step, lambda acc: acc["lo"]))
 
 
 # --- range assignment by sampled splitters ----------------------------------

@@ -139,13 +139,16 @@ def _extract(batches):
                 starts, _, first, words, pairs = _pairs(raw, offsets)
                 words, pairs = [(words ^ x).view(np.int64) for x in _SIDES], [(pairs ^ x).view(np.int64) for x in _SIDES]
             for i in hinted.tolist():
-                text = raw[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace")
+                own = raw[offsets[i] : offsets[i + 1]]
+                text = own.tobytes().decode("utf-8", "replace")
+                # Byte offset of each code point, once per text.
+                place = None if text.isascii() else np.flatnonzero((own & 0xC0) != 0x80)
                 found = base_spans(text)
                 base[i] = [{"start": a, "kind": k, "end": b} for a, k, b in found]
                 seeds = [(a, b, True) for a, _, b in found]
                 for a, b, seed in [*seeds, *((a, b, False) for a, b in identifiers(text, found))]:
-                    at = offsets[i] + (a if text.isascii() else len(text[:a].encode()))
-                    to = offsets[i] + (b - 1 if text.isascii() else len(text[: b - 1].encode()))
+                    at = offsets[i] + (a if place is None else place[a])
+                    to = offsets[i] + (b - 1 if place is None else place[b - 1])
                     left = int(np.searchsorted(starts, at, side="right")) - 1
                     right = int(np.searchsorted(starts, to, side="right")) - 1
                     around = []

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import load, spans_of, text_or_empty
+from ledgerlake.llm.common import load, spans_before, spans_of, text_or_empty
 
 ASSIGN = r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -109,9 +110,17 @@ def train_models(samples: DataFrame) -> dict[str, float]:
     return {p: random[p] - ordinary[p] for p in random}
 
 
-def _free_pieces(run: Column, base: Column) -> Column:
-    """Parts of a run that no base span covers, as (start, hit)."""
-    inside = F.array_sort(F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])))
+def _free_pieces(run: Column, kinds: Sequence[str]) -> Column:
+    """Parts of a run that no base span covers, as (start, hit).  The spans of
+    a kind are disjoint and in order, so those that touch the run are found by
+    two binary searches."""
+    def touching(number: int, name: str) -> Column:
+        spans = F.col(name)
+        before = spans_before(spans, "end", run["start"], or_equal=True)
+        near = F.slice(spans, before + 1, F.greatest(spans_before(spans, "start", run["end"]) - before, F.lit(0)))
+        return F.transform(near, lambda s: F.struct(s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end")))
+
+    inside = F.array_sort(F.concat(*[touching(i, name) for i, name in enumerate(kinds)]))
     edges = F.concat(inside, F.array(F.struct(run["end"].alias("start"), F.lit(0).alias("kind"), run["end"].alias("end"))))
     empty = F.struct(run["start"].alias("at"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("all"))
 
@@ -213,7 +222,7 @@ def scan(docs: DataFrame, ratios: dict[str, float], threshold: float = THRESHOLD
 
     rows = rows.withColumn("base", F.concat(*[ordered(i, n) for i, n in enumerate(KINDS[:3])]))
 
-    rows = rows.withColumn("pieces", F.flatten(F.transform("runs", lambda r: _free_pieces(r, F.col("base")))))
+    rows = rows.withColumn("pieces", F.flatten(F.transform("runs", lambda r: _free_pieces(r, KINDS[:3]))))
     rows = rows.withColumn("pieces", F.transform(
         "pieces", lambda p: F.struct(p["start"].alias("start"), p["hit"].alias("hit"), _gains(p["hit"], ratios, threshold).alias("gains"))
     ))
