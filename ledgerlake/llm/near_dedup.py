@@ -23,8 +23,21 @@ pair whose documents are already connected is never built:
    the bucket's largest component against the others.
 
 The last round would meet every outlier of a large group with the whole group.
-An exact split avoids that.  In a cluster (nodes connected by buckets) of more
-than ``2 * RARE`` nodes, a shingle is rare if at most ``RARE`` of them hold it.
+Two exact steps avoid that in clusters (nodes connected by buckets) of more
+than ``2 * RARE`` nodes.
+
+First, by a reference: the node R that shares most buckets.  A set A is kept as
+its difference to R, D(A); the difference of two sets is that of their D.
+Sets within the threshold of R are linked through it.  Where A is not, a link
+A, B needs |D(A) & D(B)| > (|D(B)| + h (|R| - |B|)) / 2, h = (1 - t) / (1 + t)
+for the threshold t: more than about half of D(B) must be in D(A).  So B
+enters with only the rarest half of D(B), A with all of D(A), and near copies
+of one text, whose D are mostly words of their own, rarely meet.  This settles
+all pairs of a node at similarity ``NEAR`` or more with R; by the triangle
+inequality such a node has no link below NEAR - (1 - t).  The others go on to
+a second reference, then to the second step.
+
+Second, a shingle is rare if at most ``RARE`` nodes of the cluster hold it.
 Two sets that share a rare shingle meet by that shingle.  Two that share none
 share at most m = min(n1 - r1, n2 - r2) shingles (r: rare ones of a set), so
 their similarity is at most m / (n1 + n2 - m), and a pair is built only where
@@ -36,7 +49,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import GRAPH_WORD, Bloom, bloom_of, keep, load, mix, text_slices, word_hashes, words_in_rows
@@ -44,6 +57,9 @@ from ledgerlake.llm.graph import components
 
 BANDS, ROWS, SHARED = 52, 5, 3
 RARE = 64
+#: Reference rounds, and the similarity to the reference that settles a node.
+REFERENCES, NEAR = 2, 0.4
+SALTS = 16
 BLOOM_BITS = 26
 
 
@@ -119,7 +135,7 @@ def _sketch_pass(size: int, bands: int, rows: int):
 
         for batch in batches:
             ids = batch.column(0).field("id").to_pylist()
-            for low, high, raw, offsets in text_slices(batch.column(1), 1 << 21):
+            for low, high, raw, offsets in text_slices(batch.column(1)):
                 sets = shingle_sets(raw, offsets, size)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 keys = band_keys(sketches([sets[i] for i in full], bands * rows), bands, rows)
@@ -147,7 +163,7 @@ def _set_pass(size: int, bloom, bits: int):
         known, seen = Bloom(bits, bloom.value), set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for low, _high, raw, offsets in text_slices(batch.column(1), 1 << 21):
+            for low, _high, raw, offsets in text_slices(batch.column(1)):
                 cls, own, full = [], [], []
                 sets = shingle_sets(raw, offsets, size)
                 made = [_class_and_key(s, ids[low + i]) if len(s) else (b"", 0) for i, s in enumerate(sets)]
@@ -270,15 +286,28 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     comps = components(links)
 
     # What is left: pairs of different components in one bucket.
-    inside = keep(with_comp(members.select("key", "nid", "n"), "nid", "comp"), "bucket-components")
-    groups = inside.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    largest = groups.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
-    largest = largest.where("comps > 1").select("key", F.col("top.comp").alias("top"))
-    mixed = keep(inside.join(largest, "key").withColumn("main", F.col("comp") == F.col("top")).drop("top"), "mixed-buckets")
-    stars = mixed.join(mixed.groupBy("key").agg(F.min("nid").alias("b")), "key").select(F.col("nid").alias("a"), "b")
-    clusters = components(stars.distinct()).select(F.col("node").alias("nid"), F.col("comp").alias("cluster"))
-    wide = clusters.groupBy("cluster").agg(F.count("*").alias("nodes")).where(F.col("nodes") > 2 * RARE).select("cluster")
-    crowd = keep(mixed.select("nid", "n", "comp").distinct().join(clusters, "nid").join(wide, "cluster"), "wide-clusters")
+    def apart_still(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Buckets with several components, and the nodes of wide clusters of them."""
+        inside = keep(with_comp(members.select("key", "nid", "n"), "nid", "comp"), "bucket-components")
+        groups = inside.groupBy("key", "comp").agg(F.count("*").alias("c"))
+        largest = groups.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
+        largest = largest.where("comps > 1").select("key", F.col("top.comp").alias("top"))
+        mixed = keep(inside.join(largest, "key").withColumn("main", F.col("comp") == F.col("top")).drop("top"), "mixed-buckets")
+        stars = mixed.join(mixed.groupBy("key").agg(F.min("nid").alias("b")), "key").select(F.col("nid").alias("a"), "b")
+        clusters = components(stars.distinct()).select(F.col("node").alias("nid"), F.col("comp").alias("cluster"))
+        wide = clusters.groupBy("cluster").agg(F.count("*").alias("nodes")).where(F.col("nodes") > 2 * RARE).select("cluster")
+        return mixed, keep(mixed.select("nid", "n", "comp").distinct().join(clusters, "nid").join(wide, "cluster"), "wide-clusters")
+
+    mixed, crowd = apart_still(members)
+    for _ in range(REFERENCES):
+        if crowd.isEmpty():
+            break
+        near = _near_reference(mixed, crowd, sets, percent)
+        to_reference = near.where(F.col("linked") & (F.col("nid") != F.col("ref"))).select(F.col("ref").alias("a"), F.col("nid").alias("b"))
+        links = keep(links.unionAll(to_reference).unionAll(confirm(_reference_pairs(near, percent, alike))), "links")
+        comps = components(links)
+        members = keep(members.join(near.where("settled").select("nid"), "nid", "left_anti"), "open-buckets")
+        mixed, crowd = apart_still(members)
     items = sets.join(crowd, "nid").select("cluster", "nid", "n", "comp", F.explode("items").alias("item"))
     counts = keep(
         items.groupBy("cluster", "item").agg(F.count("*").alias("c"), F.min("nid").alias("nid")).where(F.col("c") <= RARE), "rare-counts"
@@ -311,10 +340,57 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     return components(links.unionAll(last))
 
 
+def _near_reference(mixed: DataFrame, crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The nodes of each wide cluster that are near its reference, the node
+    that shares most buckets: cluster, nid, n, comp, ref, ref_n, sim, linked,
+    settled, and the differences to the reference's set."""
+    own = mixed.select("key", "nid").join(crowd.select("nid", "cluster"), "nid")
+    weight = own.groupBy("key").agg(F.count("*").alias("c"))
+    score = own.join(weight, "key").groupBy("cluster", "nid").agg(F.sum("c").alias("score"))
+    refs = score.groupBy("cluster").agg(F.max(F.struct("score", "nid")).alias("top")).select("cluster", F.col("top.nid").alias("ref"))
+    refs = refs.join(sets.select(F.col("nid").alias("ref"), F.col("items").alias("base")), "ref")
+    # A cluster may hold many nodes: its reference is dealt to several keys.
+    refs = refs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = crowd.withColumn("salt", F.pmod(F.xxhash64("nid"), F.lit(SALTS)).cast("int")).join(refs, ["cluster", "salt"])
+    rows = rows.join(sets, "nid").withColumn("shared", F.size(F.array_intersect("items", "base")))
+    union = F.col("n") + F.size("base") - F.col("shared")
+    rows = rows.select(
+        "cluster", "nid", "n", "comp", "ref", F.size("base").alias("ref_n"), (F.col("shared") / union).alias("sim"),
+        (F.col("shared") * 100 >= union * percent).alias("linked"),
+        F.concat(F.array_except("items", "base"), F.array_except("base", "items")).alias("diff"),
+    )
+    rows = rows.withColumn("settled", F.col("sim") >= NEAR)
+    return keep(rows.where(F.col("sim") >= NEAR - (1 - percent / 100) - 1e-9), "near-references")
+
+
+def _reference_pairs(near: DataFrame, percent: int, alike) -> DataFrame:
+    """Pairs that may be linked, one of them settled, one not linked with the
+    reference: they share one of the rarest differences of the settled one."""
+    # More than (d + h (|R| - n)) / 2 differences are shared: in whole numbers.
+    needed = f"((100 + {percent}) * d + (100 - {percent}) * (ref_n - n)) div (2 * (100 + {percent})) + 1"
+    parts = near.withColumn("d", F.size("diff")).withColumn("item", F.explode("diff")).drop("diff", "ref")
+    parts = keep(parts, "differences")
+    often = parts.groupBy("cluster", "item").agg(F.count("*").alias("f"))
+    rank = F.row_number().over(Window.partitionBy("nid").orderBy("f", "item"))
+    short = parts.where("settled").join(often, ["cluster", "item"]).withColumn("rank", rank).where(F.col("rank") <= F.col("d") - F.expr(needed) + 1)
+
+    def named(rows: DataFrame, side: str) -> DataFrame:
+        return rows.select("cluster", "item", *[F.col(c).alias(side + c) for c in ("nid", "n", "comp", "sim")])
+
+    pairs = named(parts.where(~F.col("linked")), "a_").join(named(short, "b_"), ["cluster", "item"])
+    pairs = pairs.where((F.col("a_comp") != F.col("b_comp")) & alike("a_n", "b_n"))
+    pairs = pairs.where(F.abs(F.col("a_sim") - F.col("b_sim")) <= 1 - percent / 100 + 1e-9)
+    return pairs.select(F.least("a_nid", "b_nid").alias("a"), F.greatest("a_nid", "b_nid").alias("b")).distinct()
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each group, with their own columns."""
-    kept = near_duplicates(docs, id_col=id_col, **options).where("kept").select(F.col(id_col).alias("_stays")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_stays"]), "left_semi")
+    """``docs`` with one document of each group, with their own columns.  The
+    ids that go (all of whose rows go) are written first, so their size is
+    known and texts are shuffled only where they are too many to broadcast."""
+    found = near_duplicates(docs, id_col=id_col, **options)
+    gone = found.groupBy(F.col(id_col).alias("_gone")).agg(F.max("kept").alias("stays")).where(~F.col("stays")).select("_gone")
+    gone = keep(gone, "near-duplicates")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

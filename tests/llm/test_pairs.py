@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -115,3 +116,66 @@ def test_contamination_edge_rows(spark, docs):
     assert winnowing.contamination(docs, items.limit(0)).where("contaminated").count() == 0
     assert winnowing.contamination(docs.limit(0), items).count() == 0
     assert sorted(str(r.doc_id) for r in winnowing.clean_documents(docs, items).collect()) == ["1", "2", "5"]
+
+
+def _copies(n, seed):
+    """Five-word shingles of near copies of one text, single words replaced."""
+    draw = random.Random(seed)
+    out = []
+    for i in range(n):
+        words = [f"w{j}" for j in range(104)]
+        for _ in range(draw.choice((1, 1, 2, 2, 3, 4, 9)) if i else 0):
+            words[draw.randrange(104)] = f"p{i}"
+        out.append({zlib.crc32(" ".join(words[j : j + 5]).encode()) for j in range(100)})
+    return out
+
+
+def _round(spark, sets):
+    rows = [(i, len(s), i) for i, s in enumerate(sets)]
+    crowd = spark.createDataFrame([(*r, 0) for r in rows], "nid bigint, n bigint, comp bigint, cluster bigint")
+    # The whole text shares most buckets.
+    keys = [(7, i) for i in range(len(sets))] + [(8 + k, 0) for k in range(3)]
+    mixed = spark.createDataFrame(keys, "key bigint, nid bigint")
+    held = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "nid bigint, items array<bigint>")
+    near = near_dedup._near_reference(mixed, crowd, held, 80)
+    pairs = near_dedup._reference_pairs(near, 80, lambda n, m: F.least(n, m) * 100 >= F.greatest(n, m) * 80)
+    return {r.nid: r for r in near.collect()}, {(r.a, r.b) for r in pairs.collect()}
+
+
+def test_reference_round_loses_no_link(spark):
+    sets = [*_copies(120, 3), *[{5000 + i, *range(40), *range(6000, 6060)} for i in range(8)]]
+    near, pairs = _round(spark, sets)
+    assert {r.ref for r in near.values()} == {0} and any(r.settled and not r.linked for r in near.values())
+    done, linked = ({i for i, r in near.items() if r[c]} for c in ("settled", "linked"))
+    links = 0
+    for j, y in enumerate(sets):
+        for i in range(j):
+            if 100 * len(sets[i] & y) >= 80 * len(sets[i] | y):
+                assert (i, j) in pairs or {i, j} <= linked or not {i, j} & done
+                links += bool({i, j} & done)
+    assert links > 100
+
+
+def test_reference_round_builds_few_pairs(spark):
+    few, many = (len(_round(spark, _copies(n, 5))[1]) for n in (300, 1200))
+    assert many <= 4.5 * max(few, 300) and many < 0.005 * 1200 * 1199 / 2, (few, many)
+
+
+def test_near_copies_of_one_text_against_brute_force(spark):
+    draw = random.Random(8)
+    text = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(300):
+        words = list(text)
+        for _ in range(draw.choice((0, 1, 1, 2, 3, 4)) if i else 0):
+            words[draw.randrange(100)] = f"p{i}_{draw.randrange(3)}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    comp = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if comp[i] != comp[j] and 100 * len(x & sets[j]) >= 80 * len(x | sets[j]):
+                a, b = comp[i], comp[j]
+                comp = [min(a, b) if c in (a, b) else c for c in comp]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(comp)) and len(set(comp)) > 50
