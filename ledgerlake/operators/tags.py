@@ -15,7 +15,7 @@ def child_to_parent(hierarchy: Mapping[str, Sequence[str]]) -> dict[str, str]:
     """Invert parent -> children; a later parent wins a child listed twice."""
     out: dict[str, str] = {}
     for parent, children in hierarchy.items():
-        for child in [children] if isinstance(children, str) else children:
+        for child in children:
             out[child] = parent
     return out
 

@@ -39,11 +39,14 @@ def prepare_facts(facts_long: DataFrame) -> DataFrame:
     return pivot_facts(clean_facts(keep_rollup_canonical(facts_long, "finType"), check_tags=False))
 
 
-def add_stock_price_dim(df: DataFrame, prices: DataFrame, price_ticker_col: str = "ticker", price_date_col: str = "Date", price_col: str = "Close", orientation: str = "reference") -> DataFrame:
+def add_stock_price_dim(
+    df: DataFrame, prices: DataFrame, price_ticker_col: str = "ticker", price_date_col: str = "Date", price_col: str = "Close",
+    orientation: str = "reference", windows: DataFrame | None = None,
+) -> DataFrame:
     """PIP2: price class of the quarter before the report, then the fact
-    column order."""
+    column order (``windows`` as in ``add_price_change_class``)."""
     classed = add_price_change_class(
-        df, prices, "ticker", "reportDate", price_ticker_col, price_date_col, price_col, orientation=orientation
+        df, prices, "ticker", "reportDate", price_ticker_col, price_date_col, price_col, orientation=orientation, windows=windows
     )
     return classed.select(*fixed.FACT_COLUMNS)
 
@@ -105,10 +108,7 @@ def build_filings_fact(
     # The class depends only on (ticker, reportDate), which the normalisation
     # does not change: the price windows are read from the written table, so
     # neither branch recomputes the other.
-    normalized = add_price_change_class(
-        normalized, prices, "ticker", "reportDate", *price_cols, orientation=orientation, windows=joined
-    )
-    fact = normalized.select(*fixed.FACT_COLUMNS)
+    fact = add_stock_price_dim(normalized, prices, *price_cols, orientation=orientation, windows=joined)
     fact = fact.withColumn("transcriptID", fact_transcript_key("ticker", "financialPeriod", report_year("reportDate")))
     if measured is not None:
         return attach_transcripts(fact, measured, "transcriptID")
