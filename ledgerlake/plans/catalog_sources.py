@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ledgerlake import fixed
 from ledgerlake.plans.dims import company_dimension, industry_dimension
 from ledgerlake.plans.tables import date_text, table
+from ledgerlake.session import spread
 from ledgerlake.sources.files import constituents_from_lines, lookup_cik, select_prices
 from ledgerlake.sources.filings_json import (
     CHART_SCHEMA,
@@ -38,8 +39,11 @@ from ledgerlake.sources.filings_json import (
 
 
 def facts_documents(spark, sf) -> DataFrame:
-    """(ticker, doc): one company-facts document per order, as JSON text."""
-    li = table(spark, sf, "lineitem")
+    """(ticker, doc): one company-facts document per order, as JSON text.
+
+    Plain lines are dealt by order once, in partitions whose records and tags
+    fit in memory; both aggregates follow without a shuffle of records."""
+    li = spread(table(spark, sf, "lineitem"), "l_orderkey")
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
     j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
 

@@ -95,6 +95,26 @@ def _context(spark: SparkSession):
         return None
 
 
+#: ``spread`` multiplies the session's shuffle partitions by so much, up to
+#: so many.
+SPREAD, SPREAD_MOST = 4, 400
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Deal rows by the hash of ``cols`` over a number of partitions that AQE
+    does not lower.
+
+    AQE merges shuffle partitions up to a size in compressed bytes.  Sorting
+    or hashing narrow rows with nearly as many keys as rows takes a multiple of
+    that in memory, so such steps keep all partitions of the session, and
+    some more where it has few.  Aggregates on ``cols`` (or more) that follow
+    need no further shuffle."""
+    conf = df.sparkSession.conf
+    own = int(conf.get("spark.sql.shuffle.partitions"))
+    initial = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or 0)
+    return df.repartition(max(own, initial, min(SPREAD * own, SPREAD_MOST)), *cols)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Cut lineage: write ``df`` once as a Parquet table in the shared
     checkpoint folder and return a reader of it.

@@ -152,3 +152,16 @@ def test_period_means_shuffle_statistics_and_detail_once(spark, scratch):
         want = mean(t, set(range((m - 1) // 3 * 3 + 1, (m - 1) // 3 * 3 + 4)) if m else {None})
         assert quarter == want or abs(quarter - want) < 1e-9
     assert len(got) == len(rows)
+
+
+def test_steps_on_narrow_rows_keep_many_partitions(spark):
+    """AQE does not merge the partitions in which nearly unique rows are sorted
+    and hashed, and records of a document are built after the lines are dealt."""
+    from ledgerlake.plans.catalog import CATALOG
+    from tests.conftest import SF001
+
+    for name, least in (("company_facts", 1), ("price_window", 3), ("classify", 3), ("class_names", 3), ("filings_fact", 2)):
+        plan = _plan(CATALOG[name][0](spark, SF001))
+        dealt = re.findall(r"hashpartitioning\(.*, (\d+)\), REPARTITION_BY_NUM", plan)
+        assert len(dealt) >= least and set(dealt) == {"16"}, name
+    assert CATALOG["price_window"][0](spark, SF001).rdd.getNumPartitions() == 16
