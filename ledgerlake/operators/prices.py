@@ -13,7 +13,8 @@ table.  Scale shape:
   the months at its edges meet the daily bars, whole months in between meet
   one summary row.  The join is an equi-join on (ticker, month, kind) with the
   date range as a residual -- a ticker with a long history is spread over many
-  join keys instead of one sort-merge group;
+  join keys instead of one sort-merge group, and the keys over more partitions
+  than AQE would leave (``session.spread``);
 * first and last close of a window are ``min_by`` / ``max_by`` on a date: hash
   aggregates again, combined before the shuffle;
 * the classes join back to the facts on (ticker, reportDate).
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from ledgerlake import fixed
 from ledgerlake.functions.classify import change_class, percent_change
 from ledgerlake.functions.scalars import minus_months
+from ledgerlake.session import spread
 
 
 def window_closes(
@@ -57,6 +59,9 @@ def window_closes(
         .withColumn("_mb", F.explode(month_of_window))
         .withColumn("_whole", (F.col("_mb") >= F.col("_start")) & (F.add_months("_mb", 1) <= F.col("_rd")))
     )
+    # One row per window and month, and nearly all bars, meet in this join: it
+    # sorts small partitions.
+    w = spread(w, "_t", "_mb", "_whole")
     bars = prices.select(
         F.col(price_ticker_col).alias("_pt"),
         F.to_date(F.col(price_date_col)).alias("_pd"),

@@ -43,6 +43,7 @@ from ledgerlake.plans.dims import price_change_dimension, price_profile
 from ledgerlake.plans.filings import build_filings_fact
 from ledgerlake.plans.tables import date_text as _ds
 from ledgerlake.plans.tables import table as _t
+from ledgerlake.session import spread
 from ledgerlake.operators.projections import keep_members
 from ledgerlake.sources.calendar import calendar_for
 from ledgerlake.sources.files import harvest_transcripts, lookup_cik
@@ -242,12 +243,13 @@ FROM n
 
 # -- JON4 + AGG3 + SCL6 ------------------------------------------------------
 def _supplier_prices(spark, sf):
-    # light per-row work (two partial aggregates): not worth a redistribution
+    # Nearly every line has a day and a month of its own, so aggregating before
+    # the shuffle would hold a whole split in memory and save nothing.
     li = _t(spark, sf, "lineitem")
-    prices = li.groupBy(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(
-        F.max("l_extendedprice").alias("close")
-    )
-    facts = li.select(F.col("l_suppkey").alias("ticker"), F.last_day(F.to_date("l_shipdate")).alias("reportDate")).distinct()
+    lines = li.select(F.col("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"), "l_extendedprice")
+    prices = spread(lines, "ticker", "date").groupBy("ticker", "date").agg(F.max("l_extendedprice").alias("close"))
+    ends = li.select(F.col("l_suppkey").alias("ticker"), F.last_day(F.to_date("l_shipdate")).alias("reportDate"))
+    facts = spread(ends, "ticker", "reportDate").distinct()
     return facts, prices
 
 
