@@ -231,6 +231,16 @@ def score_graph(edges: DataFrame, support: int = SUPPORT, trust: float = TRUST,
         known = count
 
 
+def counted(edges: DataFrame, able: DataFrame, found_again: DataFrame) -> DataFrame:
+    """``edges`` of the patterns in ``able``, with ``all``: how often the
+    pattern occurs.  ``found_again`` (pattern, n) has a row for each part of the
+    corpus with the pattern, so it is added up before it meets another table; a
+    semi-join with it would be moved below the sum, onto all those rows."""
+    totals = found_again.groupBy("pattern").agg(F.sum("n").alias("all"))
+    known = able.select("pattern", F.lit(True).alias("known")).join(totals, "pattern").drop("known")
+    return edges.join(known, "pattern")
+
+
 def find_pii(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, trust: float = TRUST, rounds: int = ROUNDS,
     bloom_bits: int = BLOOM_BITS,
@@ -252,9 +262,8 @@ def find_pii(
     # Patterns around fewer instances, trusted or not, can have no say in any round.
     able = keep(edges.groupBy("pattern").agg(F.count("*").alias("c")).where(F.col("c") >= support), "pii-patterns")
     bloom = bloom_of(able, "pattern", bloom_bits)
-    totals = docs.select(text_col).mapInArrow(_occurrences(bloom, bloom_bits), "pattern bigint, n bigint")
-    totals = totals.groupBy("pattern").agg(F.sum("n").alias("all")).join(able.select("pattern"), "pattern", "left_semi")
-    edges = keep(edges.join(totals, "pattern"), "pii-counted")
+    found_again = docs.select(text_col).mapInArrow(_occurrences(bloom, bloom_bits), "pattern bigint, n bigint")
+    edges = keep(counted(edges, able, found_again), "pii-counted")
     trusted = score_graph(edges, support, trust, rounds).select("value")
     more = uses.where("not seed").join(trusted, "value").groupBy("rid").agg(
         F.collect_set(F.struct("start", F.lit(4).alias("kind"), "end")).alias("more")

@@ -140,3 +140,13 @@ def test_license_windows(spark, docs):
     got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert set(got) == {2, None} and got[2].license == "MIT notice" and 0.8 <= got[2].containment < 1 and got[None].containment == 1
     assert licenses.scan(docs).count() == 0 and licenses.scan(docs.limit(0)).count() == 0 and licenses.scan(docs, {}).count() == 0
+
+
+def test_pattern_counts_are_added_up_before_they_meet_a_table(spark):
+    edges = spark.createDataFrame([(1, 1, "a", True, 2), (1, 1, "b", False, 1), (2, 2, "a", True, 1)], "pattern bigint, word bigint, value string, seed boolean, n bigint")
+    able = spark.createDataFrame([(1,), (3,)], "pattern bigint")
+    parts = spark.range(300).selectExpr("id % 3 + 1 as pattern", "2L as n")
+    out = pii.counted(edges, able, parts)
+    assert sorted((r.pattern, r.value, r.n, r["all"]) for r in out.collect()) == [(1, "a", 2, 200), (1, "b", 1, 200)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "Join" not in plan[plan.rindex("Aggregate") :]
