@@ -5,10 +5,11 @@ join: report windows [reportDate - 3 months, reportDate) against a price
 table.  Scale shape:
 
 * facts are reduced to distinct (ticker, reportDate) windows first;
-* bars are collapsed to one per (ticker, day), and those to one summary per
-  (ticker, month): first and last day with their closes.  Both are hash
-  aggregates over fixed-width values, and the summary reads the shuffle of
-  the daily bars again, so prices are scanned and shuffled once;
+* bars are dealt by (ticker, month) over more partitions than AQE would leave
+  (``session.spread``), collapsed to one per (ticker, day), and those to one
+  summary per (ticker, month): first and last day with their closes.  Both are
+  hash aggregates over fixed-width values, and the summary reads the shuffle
+  of the bars again, so prices are scanned and shuffled once;
 * each window is expanded to the (at most four) calendar months it touches:
   the months at its edges meet the daily bars, whole months in between meet
   one summary row.  The join is an equi-join on (ticker, month, kind) with the
@@ -68,8 +69,10 @@ def window_closes(
         F.col(price_col).cast("double").alias("_close"),
     )
     # Said in full, so that the join infers the same filters below both kinds
-    # of row and their common shuffle is read again.
-    bars = bars.filter(F.col("_pt").isNotNull() & F.col("_pd").isNotNull() & F.trunc("_pd", "month").isNotNull())
+    # of row and their common shuffle is read again.  Dealt by month: a month's
+    # summary is made where its days are, in small partitions.
+    bars = bars.withColumn("_pmb", F.trunc("_pd", "month"))
+    bars = spread(bars.filter(F.col("_pt").isNotNull() & F.col("_pd").isNotNull() & F.col("_pmb").isNotNull()), "_pt", "_pmb")
     p = daily_and_monthly(bars)
     cond = (
         (w["_t"] == p["_pt"])
@@ -87,9 +90,9 @@ def window_closes(
 
 
 def daily_and_monthly(bars: DataFrame) -> DataFrame:
-    """Bars (_pt, _pd, _close) as one row per day and one per month: ticker,
+    """Bars (_pt, _pmb, _pd, _close) as one row per day and one per month: ticker,
     month, kind (_month), first and last day, the close of each."""
-    daily = bars.groupBy("_pt", F.trunc("_pd", "month").alias("_pmb"), "_pd").agg(
+    daily = bars.groupBy("_pt", "_pmb", "_pd").agg(
         F.when(F.count("_close") == F.count(F.lit(1)), F.min("_close")).alias("_lo"), F.max("_close").alias("_hi")
     )
     monthly = daily.groupBy("_pt", "_pmb").agg(

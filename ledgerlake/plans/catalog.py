@@ -735,7 +735,9 @@ def _filings_inputs(spark, sf):
         F.col("o_orderstatus").alias("primaryDocDescription"),
         filing_url(pad_cik("o_custkey"), accession, F.concat(F.col("o_orderkey").cast("string"), F.lit(".htm"))).alias("fileURL"),
     )
-    prices = lo.groupBy(ticker.alias("ticker"), F.to_date("l_shipdate").alias("Date")).agg(F.max("l_extendedprice").alias("Close"))
+    # as in _supplier_prices: nearly one line per company and day
+    days = lo.select(ticker.alias("ticker"), F.to_date("l_shipdate").alias("Date"), "l_extendedprice")
+    prices = spread(days, "ticker", "Date").groupBy("ticker", "Date").agg(F.max("l_extendedprice").alias("Close"))
     docs = _t(spark, sf, "documents")
     transcripts = docs.select(
         F.concat(F.lit("C"), F.col("doc_id").cast("string")).alias("ticker"),
