@@ -61,8 +61,9 @@ def window_closes(
         .withColumn("_whole", (F.col("_mb") >= F.col("_start")) & (F.add_months("_mb", 1) <= F.col("_rd")))
     )
     # One row per window and month, and nearly all bars, meet in this join: it
-    # sorts small partitions.
-    w = spread(w, "_t", "_mb", "_whole")
+    # sorts small partitions.  Without the hint the size of the pruned file,
+    # before the months are listed, would pass for a table small enough to broadcast.
+    w = spread(w, "_t", "_mb", "_whole").hint("merge")
     bars = prices.select(
         F.col(price_ticker_col).alias("_pt"),
         F.to_date(F.col(price_date_col)).alias("_pd"),

@@ -165,3 +165,12 @@ def test_steps_on_narrow_rows_keep_many_partitions(spark):
         dealt = re.findall(r"hashpartitioning\(.*, (\d+)\), REPARTITION_BY_NUM", plan)
         assert len(dealt) >= least and set(dealt) == {"16"}, name
     assert CATALOG["price_window"][0](spark, SF001).rdd.getNumPartitions() == 16
+
+
+def test_windows_are_not_broadcast(spark, scratch):
+    """A small file of windows lists four rows a window: it is not broadcast."""
+    windows = _parquet(spark, scratch, [("a", "2024-03-31")], "ticker string, reportDate string", "windows")
+    bars = _parquet(spark, scratch, [("a", "2024-01-02", 1.0), ("a", "2024-03-05", 2.0), ("a", "2024-03-31", 3.0)], "ticker string, date string, close double", "bars")
+    out = window_closes(windows, bars)
+    assert [(r.ticker, r.first_close, r.last_close) for r in out.collect()] == [("a", 1.0, 2.0)]
+    assert "Broadcast" not in _plan(out)
