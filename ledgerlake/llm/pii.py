@@ -35,6 +35,8 @@ KINDS = ("email", "ip", "card", "phone", "context")
 #: of scoring in a round.
 SUPPORT, TRUST, ROUNDS = 3, 0.6, 3
 BLOOM_BITS = 24
+#: Counts of patterns that a task holds (32 MB).
+MOST_COUNTED = 1_000_000
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -168,13 +170,29 @@ def _extract(batches):
             )
 
 
-def _occurrences(bloom, bits: int):
-    """How often the known patterns occur, as words or pairs of words anywhere."""
+def _occurrences(bloom, bits: int, most: int = MOST_COUNTED):
+    """How often the known patterns occur, as words or pairs of words
+    anywhere.  Counts are added up over the task's slices of text, so a
+    pattern has a row a task and not one a slice; more than ``most`` counts are
+    handed on, so memory is bounded."""
 
     def run(batches):
         import pyarrow as pa
 
         known = Bloom(bits, bloom.value)
+        keys, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            found, at = np.unique(np.concatenate([keys, *(k for k, _ in waiting)]), return_inverse=True)
+            total = np.zeros(len(found), np.int64)
+            np.add.at(total, at, np.concatenate([times, *(t for _, t in waiting)]))
+            waiting.clear()
+            return found, total
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(times)], names=["pattern", "n"])
+
         for batch in batches:
             for _, _, raw, offsets in text_slices(batch.column(0)):
                 _, _, first, words, pairs = _pairs(raw, offsets)
@@ -183,11 +201,17 @@ def _occurrences(bloom, bits: int):
                 inside[cut[(cut >= 0) & (cut < len(pairs))]] = False
                 words, often = np.unique(words, return_counts=True)
                 for side in _SIDES:
-                    keys = pairs[inside] ^ side
-                    keys, times = np.unique(keys[known.has(keys)], return_counts=True)
+                    both = pairs[inside] ^ side
+                    waiting.append(np.unique(both[known.has(both)], return_counts=True))
                     single = known.has(words ^ side)
-                    keys, times = np.concatenate([keys, words[single] ^ side]), np.concatenate([times, often[single]])
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(times.astype(np.int64))], names=["pattern", "n"])
+                    waiting.append((words[single] ^ side, often[single]))
+                if sum(len(k) for k, _ in waiting) >= max(len(keys), most // 8):
+                    keys, times = added()
+                    if len(keys) > most:
+                        yield rows()
+                        keys, times = keys[:0], times[:0]
+        keys, times = added()
+        yield rows()
 
     return run
 

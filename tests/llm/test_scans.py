@@ -6,6 +6,11 @@ import hashlib
 import random
 import re
 import string
+from collections import Counter
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
 
 from ledgerlake.llm import licenses, pii, secrets
 from tests.llm.conftest import SF
@@ -150,3 +155,26 @@ def test_pattern_counts_are_added_up_before_they_meet_a_table(spark):
     assert sorted((r.pattern, r.value, r.n, r["all"]) for r in out.collect()) == [(1, "a", 2, 200), (1, "b", 1, 200)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" not in plan and "Join" not in plan[plan.rindex("Aggregate") :]
+
+
+def test_pattern_occurrences_are_added_up_in_the_task():
+    """A pattern has one row a task, not one for every slice of text; with
+    room for few counts, several rows with the same sums."""
+    batch = pa.RecordBatch.from_pydict({"text": ["badge id X99 of the id " * 30, None, "other id"]})
+    keys = [w ^ s for w in pii.word_hashes(np.frombuffer(b"id of", np.uint8), np.array([0, 3]), np.array([2, 5])) for s in pii._SIDES]
+    bloom = pii.Bloom(10)
+    bloom.add(np.array(keys, np.uint64))
+
+    def counts(most):
+        out = list(pii._occurrences(SimpleNamespace(value=bloom.words), 10, most)(iter([batch] * 20)))
+        rows = [(k, n) for b in out for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        total = Counter()
+        for k, n in rows:
+            total[k] += n
+        return rows, total
+
+    rows, total = counts(1000)
+    assert len(rows) == len(total)
+    assert [total[int(k.view(np.int64))] for k in keys] == [61 * 20, 61 * 20, 30 * 20, 30 * 20]
+    more, again = counts(1)
+    assert again == total and len(more) > len(rows)
