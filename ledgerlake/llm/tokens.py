@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import struct
 import sys
 import types
@@ -33,8 +34,8 @@ BLOCK, PERCENTILE = 1024, 90
 MAGIC = b"PFORIDS1"
 END_ID = 2
 #: Pieces of text that one generation of a worker's memory holds at most, and
-#: the longest one it keeps (about 15 MB a generation).
-MOST_PIECES, LONGEST_PIECE = 100_000, 64
+#: the longest one it keeps (some 200 bytes each).
+MOST_PIECES, LONGEST_PIECE = 150_000, 64
 
 
 # --- text to ids --------------------------------------------------------------
@@ -42,23 +43,34 @@ MOST_PIECES, LONGEST_PIECE = 100_000, 64
 #: White space beside white space: such texts are cut with more care.
 ODD = re.compile(r"\s\s")
 PLAIN_GAP = re.compile(r"(?<=\S) (?=\S)")
-#: Letters of the oldest Unicode blocks, then ASCII punctuation: the
-#: pre-tokenizer always cuts between the two and nowhere else.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+#: Letters of the oldest Unicode blocks and ASCII punctuation: the pre-tokenizer
+#: always cuts between a run of the one and a run of the other, nowhere else.
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
+MARKS = string.punctuation
+
+
+def plain(word: str) -> bool:
+    return word.isalpha() if word.isascii() else LETTERS.fullmatch(word) is not None
 
 
 class Pieces(dict):
     """Ids (uint32 bytes) of text pieces, encoded when first met.
 
-    Two generations: a full one becomes the old one, and what is used again
-    comes back from there, so frequent pieces stay and memory is bounded."""
+    A plain word with punctuation behind it is put together from the two, so
+    only the word is kept.  Two generations: a full one becomes the old one,
+    and what is used again comes back from there, so frequent pieces stay and
+    memory is bounded."""
 
-    def __init__(self, make):
-        self.make, self.old = make, {}
+    def __init__(self, make, marks: Pieces | None = None):
+        self.make, self.marks, self.old = make, marks, {}
 
     def __missing__(self, piece: str) -> bytes:
         found = self.old.get(piece)
         if found is None:
+            if self.marks is not None:
+                word = piece.rstrip(MARKS)
+                if len(word) < len(piece) and plain(word):
+                    return self[word] + self.marks[piece[len(word) :]]
             found = self.make(piece)
         if len(piece) <= LONGEST_PIECE:
             if len(self) >= MOST_PIECES:
@@ -84,26 +96,29 @@ class Encoder:
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(printable)]
         self.letters = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(rest)}
-        self.head, self.tail = Pieces(self.encode_head), Pieces(self.encode_tail)
+        self.space = chr(self.letters[0x20])
+        marks = Pieces(self.spelled)
+        self.head, self.tail = Pieces(self.encode_head, marks), Pieces(self.encode_tail, marks)
 
     def encode_head(self, piece: str) -> bytes:
-        return self.encode_piece("", piece, self.head)
+        return self.spelled(piece) if plain(piece) else self.whole(piece)
 
     def encode_tail(self, piece: str) -> bytes:
-        return self.encode_piece(" ", piece, self.tail)
+        """The piece behind a single space."""
+        if piece.isalpha() and piece.isascii():
+            return self.modelled(self.space + piece)
+        return self.spelled(" " + piece) if plain(piece) else self.whole(" " + piece)
 
-    def encode_piece(self, lead: str, piece: str, kept: Pieces) -> bytes:
-        """A plain word goes straight to the model, its bytes as the model's letters."""
-        plain = PLAIN.fullmatch(piece)
-        if not plain:
-            return np.array(self.tokenizer.encode(lead + piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if plain[2]:
-            return kept[plain[1]] + self.spelled(plain[2])
-        return self.spelled(lead + piece)
+    def whole(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
     def spelled(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        """A word that is not cut goes straight to the model, its bytes as the model's letters."""
+        return self.modelled(word.encode().decode("latin-1").translate(self.letters))
+
+    def modelled(self, letters: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         if not text:

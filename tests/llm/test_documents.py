@@ -144,6 +144,17 @@ def test_pieces_equal_whole_texts():
         assert np.frombuffer(own.encode(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_words_with_punctuation_are_not_encoded_again():
+    own = tokens.Encoder(tokens.default_tokenizer())
+    words = ["alpha", "beta", "élan"]
+    text = " ".join(w + m for m in ("", ",", ".", "!?", ")") for w in words)
+    calls, real = [], own.modelled
+    own.modelled = lambda letters: calls.append(letters) or real(letters)
+    assert np.frombuffer(own.encode(text), "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(calls) == 3 + 1 + 4  # words behind a space, the first word, marks
+    assert set(own.tail) == set(words) and own.encode(text) and len(calls) == 8
+
+
 def test_token_files(spark, duck, docs):
     from tokenizers import Tokenizer
 
