@@ -344,9 +344,9 @@ def _near_reference(mixed: DataFrame, crowd: DataFrame, sets: DataFrame, percent
     """The nodes of each wide cluster that are near its reference, the node
     that shares most buckets: cluster, nid, n, comp, ref, ref_n, sim, linked,
     settled, and the differences to the reference's set."""
-    own = mixed.select("key", "nid").join(crowd.select("nid", "cluster"), "nid")
-    weight = own.groupBy("key").agg(F.count("*").alias("c"))
-    score = own.join(weight, "key").groupBy("cluster", "nid").agg(F.sum("c").alias("score"))
+    # All nodes of a bucket are in one cluster, so the bucket's first tells it.
+    weight = mixed.groupBy("key").agg(F.count("*").alias("c"), F.min("nid").alias("nid")).join(crowd.select("nid", "cluster"), "nid").drop("nid")
+    score = mixed.select("key", "nid").join(weight, "key").groupBy("cluster", "nid").agg(F.sum("c").alias("score"))
     refs = score.groupBy("cluster").agg(F.max(F.struct("score", "nid")).alias("top")).select("cluster", F.col("top.nid").alias("ref"))
     refs = refs.join(sets.select(F.col("nid").alias("ref"), F.col("items").alias("base")), "ref")
     # A cluster may hold many nodes: its reference is dealt to several keys.

@@ -179,3 +179,18 @@ def test_near_copies_of_one_text_against_brute_force(spark):
                 comp = [min(a, b) if c in (a, b) else c for c in comp]
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == dict(enumerate(comp)) and len(set(comp)) > 50
+
+
+def test_components_join_few_rows(spark, monkeypatch):
+    """Links that have become loops are not met again, whatever the number of rounds."""
+    draw = random.Random(2)
+    links = [(i, i + 1) for i in range(400)] + [(draw.randrange(1000, 1200), draw.randrange(1000, 1200)) for _ in range(4000)]
+    links += [(5000, j) for j in range(2000, 2100)]
+    kept, real = [], graph.keep
+    monkeypatch.setattr(graph, "keep", lambda d, name: kept.append((name, real(d, name))) or kept[-1][1])
+    got = {r.node: r.comp for r in graph.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert all(got[i] == 0 for i in range(401)) and all(got[i] == 2000 for i in [*range(2000, 2100), 5000])
+    assert {got[i] for i in got if 1000 <= i < 1200} == {1000} and len(got) == 401 + 200 + 101
+    edges = [d.count() for name, d in kept if name == "edges"]
+    assert edges[-1] == 0 and sum(edges[1:]) <= 0.2 * edges[0], edges
+    assert graph.components(spark.createDataFrame([(3, 3)], "a bigint, b bigint")).count() == 0
