@@ -17,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     the links of all rounds are a small multiple of those given."""
     low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     edges = keep(links.where("a <> b").select(low, high).distinct(), "edges")
-    labels = keep(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("comp", F.col("node")), "labels")
+    labels = keep(edges.select(F.col("a").alias("node")).unionAll(edges.select("b")).distinct().withColumn("comp", F.col("node")), "labels")
     while not edges.isEmpty():
         hooks = keep(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("top")), "hooks")
         while True:
