@@ -36,6 +36,8 @@ END_ID = 2
 #: Pieces of text that one generation of a worker's memory holds at most, and
 #: the longest one it keeps (some 200 bytes each).
 MOST_PIECES, LONGEST_PIECE = 150_000, 64
+#: Bytes of text whose pieces are told apart at once, and pieces put together at once.
+SLICE, TOGETHER = 1 << 22, 1 << 19
 
 
 # --- text to ids --------------------------------------------------------------
@@ -49,6 +51,45 @@ LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
 MARKS = string.punctuation
 
 
+_BYTES = np.arange(256)
+_BLANK = np.isin(_BYTES, [*range(0x09, 0x0E), *range(0x1C, 0x21)])
+_MARK = np.isin(_BYTES, list(MARKS.encode()))
+_LETTER = np.isin(_BYTES, list(string.ascii_letters.encode()))
+#: White space beyond ASCII, as UTF-8.
+WIDE_BLANKS = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def piece_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of the texts begin, as byte offsets: at each text, each
+    single space and each side of a single line break that have no white space
+    beside them, and at punctuation between an ASCII letter and a piece's end."""
+    blank = _BLANK[raw]
+    for lead in {w[0] for w in WIDE_BLANKS}:
+        at = np.flatnonzero(raw == lead)
+        for wide in (w for w in WIDE_BLANKS if w[0] == lead) if len(at) else ():
+            hit = at[at + len(wide) <= len(raw)]
+            for i, byte in enumerate(wide[1:], 1):
+                hit = hit[raw[hit + i] == byte]
+            for i in range(len(wide)):
+                blank[hit + i] = True
+    first = np.zeros(len(raw) + 1, bool)
+    first[offsets] = True
+    gap = np.flatnonzero((raw == 0x20) | (raw == 0x0A))
+    before = blank[np.maximum(gap - 1, 0)] & ~first[gap]
+    behind = blank[np.minimum(gap + 1, len(raw) - 1)] & ~first[gap + 1]
+    gap = gap[~before & ~behind]
+    first[gap] = True
+    first[gap[raw[gap] == 0x0A] + 1] = True
+    starts = np.flatnonzero(first)
+    turn = np.flatnonzero(np.diff(_MARK[raw], prepend=False, append=False))
+    low, high = turn[0::2], turn[1::2]
+    inside = ~first[low] & _LETTER[raw[np.maximum(low - 1, 0)]]
+    low, high = low[inside], high[inside]
+    first[low[starts[np.searchsorted(starts, low, side="right")] <= high]] = True
+    first[len(raw)] = False
+    return np.flatnonzero(first)
+
+
 def plain(word: str) -> bool:
     return word.isalpha() if word.isascii() else LETTERS.fullmatch(word) is not None
 
@@ -99,6 +140,7 @@ class Encoder:
         self.space = chr(self.letters[0x20])
         marks = Pieces(self.spelled)
         self.head, self.tail = Pieces(self.encode_head, marks), Pieces(self.encode_tail, marks)
+        self.pieces = Pieces(self.encode_piece)
 
     def encode_head(self, piece: str) -> bytes:
         return self.spelled(piece) if plain(piece) else self.whole(piece)
@@ -109,6 +151,12 @@ class Encoder:
             return self.modelled(self.space + piece)
         return self.spelled(" " + piece) if plain(piece) else self.whole(" " + piece)
 
+    def encode_piece(self, raw: bytes) -> bytes:
+        piece = raw.decode()
+        if raw[:1] == b" " and raw[1:].isalpha():
+            return self.modelled(self.space + piece[1:])
+        return self.encode_tail(piece[1:]) if piece[0] == " " else self.encode_head(piece)
+
     def whole(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -138,6 +186,37 @@ class Encoder:
         return b"".join(out)
 
 
+    def encode_rows(self, raw: np.ndarray, offsets: np.ndarray, end_id: int):
+        """Ids of many texts, each closed by ``end_id``: the number of ids of
+        each text, and an iterator over all ids.  Equal pieces are found by
+        Arrow, and each is looked up once."""
+        import pyarrow as pa
+
+        starts = piece_starts(raw, offsets)
+        edges = np.append(starts, len(raw)).astype(np.int32 if len(raw) < 1 << 31 else np.int64)
+        kind = pa.binary() if edges.dtype == np.int32 else pa.large_binary()
+        pieces = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
+        found = pieces.dictionary.to_pylist()
+        found = [self.pieces[p] if ids is None else ids for p, ids in zip(found, map(self.pieces.get, found))]
+        found.append(struct.pack("<I", end_id))
+        table = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        place = np.cumsum(size) - size
+        # The end id is one more piece behind each text's.
+        ends = np.searchsorted(starts, offsets[1:])
+        code = np.insert(pieces.indices.to_numpy(), ends, len(found) - 1)
+        sums = np.concatenate(([0], np.cumsum(size[code])))
+        text_sums = sums[ends + np.arange(1, len(ends) + 1)]
+
+        def ids():
+            for low in range(0, len(code), TOGETHER):
+                part = code[low : low + TOGETHER]
+                n, to = size[part], sums[low + 1 : low + 1 + len(part)] - sums[low]
+                yield table[np.repeat(place[part] - to + n, n) + np.arange(to[-1])]
+
+        return np.diff(text_sums, prepend=0), ids()
+
+
 def encoder(path: str) -> Encoder:
     """The worker's encoder; Python workers are reused between tasks."""
     state = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state"))
@@ -360,20 +439,19 @@ def _writing(folder: str, tokenizer: str, end_id: int):
         import pyarrow as pa
 
         writer, part, ids, starts = None, 0, [], []
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             if not batch.num_rows:
                 continue
             if writer is None:
                 part = batch.column(0)[0].as_py()
                 path = f"{folder}/ids-{part:06d}.pfor"
-                writer, encode = Writer(path), encoder(tokenizer).encode
+                writer, encode = Writer(path), encoder(tokenizer).encode_rows
             ids.append(batch.column(1))
-            for low, high, _, _ in text_slices(batch.column(2)):
-                coded = [encode(t) + end for t in batch.column(2).slice(low, high - low).to_pylist()]
-                lengths = np.array([len(c) // 4 for c in coded], np.int64)
+            for _, _, raw, offsets in text_slices(batch.column(2), SLICE):
+                lengths, coded = encode(raw, offsets, end_id)
                 starts.append(writer.ids + np.cumsum(lengths) - lengths)
-                writer.add(np.frombuffer(b"".join(coded), "<u4"))
+                for some in coded:
+                    writer.add(some)
         if writer is not None:
             index = pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.array(np.concatenate(starts))], names=["id", "start"])
             writer.close(index)

@@ -8,10 +8,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from ledgerlake.llm import mixing, quality, sharding, tokens
+from ledgerlake.llm.common import text_slices
 from tests.llm.conftest import SF
 
 
@@ -155,6 +157,56 @@ def test_words_with_punctuation_are_not_encoded_again():
     assert set(own.tail) == set(words) and own.encode(text) and len(calls) == 8
 
 
+def _ids_of_rows(own, texts):
+    out = []
+    for _, _, raw, offsets in text_slices(pa.array(texts, pa.string()), 1 << 12):
+        lengths, coded = own.encode_rows(raw, offsets, 2)
+        ids, ends = np.concatenate(list(coded)), np.cumsum(lengths)
+        out += [ids[a:b].tolist() for a, b in zip(ends - lengths, ends)]
+    return out
+
+
+def test_rows_equal_whole_texts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "TOGETHER", 7)  # pieces of one text in several parts
+    path = tokens.default_tokenizer()
+    whole, own = Tokenizer.from_file(path), tokens.Encoder(path)
+    texts = ["", " ", "\n", "word, ", "word,", ",", "x, y", "it's,", "dogs' s", ".", ".a", "a.", "a \u3000", "\u3000 a", "\u0085", "é,", "日本。 語", "", ""]
+    random.seed(11)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "a", "Be", "ing", "é", "ß", "日", "1", ".", ",", "!", "'s", "'", "_", "’", "\u00a0", "\u2009", "\u3000", "\x1d", "\U0001F600"]
+    texts += ["".join(random.choice(parts) for _ in range(random.randint(0, 14))) for _ in range(4000)]
+    for t, ids in zip(texts, _ids_of_rows(own, texts), strict=True):
+        assert ids == [*whole.encode(t, add_special_tokens=False).ids, 2], repr(t)
+    assert _ids_of_rows(own, [None, "", None]) == [[2]] * 3
+
+
+def test_pieces_of_many_rows_are_looked_up_once(tmp_path):
+    """A word that rows repeat costs one look-up a slice, punctuation behind it or not."""
+    met = []
+
+    class Met(tokens.Pieces):
+        def __getitem__(self, piece):
+            met.append(piece)
+            return super().__getitem__(piece)
+
+        def get(self, piece, default=None):
+            met.append(piece)
+            return super().get(piece, default)
+
+    path = tokens.default_tokenizer()
+    own = tokens.encoder(path)
+    before = own.head, own.tail, own.pieces
+    own.head, own.tail, own.pieces = Met(own.encode_head), Met(own.encode_tail), Met(own.encode_piece)
+    try:
+        rows = pa.RecordBatch.from_arrays([pa.array([0] * 500, pa.int32()), pa.array(range(500)), pa.array(["alpha beta, gamma. beta! " * 9] * 500)], names=["part", "id", "text"])
+        got = list(tokens._writing(str(tmp_path), path, 2)([rows]))
+    finally:
+        own.head, own.tail, own.pieces = before
+    assert got[0].column(2).to_pylist() == [500 * (1 + len(own.tokenizer.encode("alpha beta, gamma. beta! " * 9, add_special_tokens=False).ids))]
+    assert len(met) <= 40, len(met)
+
+
 def test_token_files(spark, duck, docs):
     from tokenizers import Tokenizer
 
