@@ -287,12 +287,19 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
 
     # What is left: pairs of different components in one bucket.
     def apart_still(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Buckets with several components, and the nodes of wide clusters of them."""
+        """Buckets with several components, and the nodes of wide clusters of
+        them.  A pair shares ``shared`` such buckets, so a node in fewer is in none."""
+
+        def several(inside: DataFrame) -> DataFrame:
+            groups = inside.groupBy("key", "comp").agg(F.count("*").alias("c"))
+            largest = groups.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
+            largest = largest.where("comps > 1").select("key", F.col("top.comp").alias("top"))
+            return inside.join(largest, "key").withColumn("main", F.col("comp") == F.col("top")).drop("top")
+
         inside = keep(with_comp(members.select("key", "nid", "n"), "nid", "comp"), "bucket-components")
-        groups = inside.groupBy("key", "comp").agg(F.count("*").alias("c"))
-        largest = groups.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
-        largest = largest.where("comps > 1").select("key", F.col("top.comp").alias("top"))
-        mixed = keep(inside.join(largest, "key").withColumn("main", F.col("comp") == F.col("top")).drop("top"), "mixed-buckets")
+        mixed = keep(several(inside), "several-components")
+        often = mixed.groupBy("nid").agg(F.count("*").alias("c")).where(F.col("c") >= shared).select("nid")
+        mixed = keep(several(mixed.join(often, "nid", "left_semi").drop("main")), "mixed-buckets")
         stars = mixed.join(mixed.groupBy("key").agg(F.min("nid").alias("b")), "key").select(F.col("nid").alias("a"), "b")
         clusters = components(stars.distinct()).select(F.col("node").alias("nid"), F.col("comp").alias("cluster"))
         wide = clusters.groupBy("cluster").agg(F.count("*").alias("nodes")).where(F.col("nodes") > 2 * RARE).select("cluster")

@@ -194,3 +194,29 @@ def test_components_join_few_rows(spark, monkeypatch):
     edges = [d.count() for name, d in kept if name == "edges"]
     assert edges[-1] == 0 and sum(edges[1:]) <= 0.2 * edges[0], edges
     assert graph.components(spark.createDataFrame([(3, 3)], "a bigint, b bigint")).count() == 0
+
+
+def _hub_rows(n):
+    """Texts that share a passage of less than half of their words, too little
+    to be linked, but enough that many share a bucket or two."""
+    hub = " ".join(f"h{j}" for j in range(40))
+    return [(i, hub + " " + " ".join(f"p{i}_{j}" for j in range(45))) for i in range(n)]
+
+
+def test_nodes_of_few_shared_buckets_are_not_compared(spark, monkeypatch):
+    """Texts with a passage in common, but few buckets, are not cut into shingles
+    again; the rows that are grow as the number of texts, not with its square."""
+    kept, real = [], near_dedup.keep
+    monkeypatch.setattr(near_dedup, "keep", lambda d, name: kept.append((name, real(d, name))) or kept[-1][1])
+
+    def rows_made(n):
+        kept.clear()
+        twins = [(n, f"{_hub_rows(1)[0][1]} more"), (n + 1, None)]
+        out = near_dedup.near_duplicates(spark.createDataFrame([*_hub_rows(n), *twins], "doc_id bigint, text string"), size=2).collect()
+        assert {r.doc_id: r.component_id for r in out} == {i: i if i != n else 0 for i in range(n + 2)}
+        nodes = max(d.select("nid").distinct().count() for name, d in kept if name == "several-components")
+        return nodes, sum(d.count() for name, d in kept if name in ("differences", "rare-shingles", "rare-counts"))
+
+    (few, small), (many, large) = rows_made(600), rows_made(1800)
+    assert few > 150 and many > 900  # nodes that share a bucket with another component
+    assert small <= 0.25 * 84 * few and large <= 0.25 * 84 * many, (few, small, many, large)
