@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,13 +39,35 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+#: The folder of the tables that go when the step that keeps them ends.
+_STEP: ContextVar[str | None] = ContextVar("step", default=None)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back."""
     path = fresh_path(df.sparkSession, name)
+    if _STEP.get():
+        path = f"{_STEP.get()}/{os.path.basename(path)}"
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_last(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``keep`` of what ``make`` gives.  The tables that it kept on the way are
+    read by nothing else and go, so they take no room in later steps."""
+    folder = fresh_path(spark, f"{name}-step")
+    try:
+        step = _STEP.set(folder)
+        try:
+            df = make()
+        finally:
+            _STEP.reset(step)
+        return keep(df, name)
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

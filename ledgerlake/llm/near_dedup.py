@@ -49,10 +49,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import GRAPH_WORD, Bloom, bloom_of, keep, load, mix, text_slices, word_hashes, words_in_rows
+from ledgerlake.llm.common import GRAPH_WORD, Bloom, bloom_of, keep, keep_last, load, mix, text_slices, word_hashes, words_in_rows
 from ledgerlake.llm.graph import components
 
 BANDS, ROWS, SHARED = 52, 5, 3
@@ -131,8 +132,6 @@ def _class_and_key(own: np.ndarray, doc_id) -> tuple[bytes, int]:
 
 def _sketch_pass(size: int, bands: int, rows: int):
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             ids = batch.column(0).field("id").to_pylist()
             for low, high, raw, offsets in text_slices(batch.column(1)):
@@ -154,12 +153,42 @@ def _sketch_pass(size: int, bands: int, rows: int):
     return run
 
 
+def _key_pass(stand, wanted, bits: int):
+    """The buckets (those in ``wanted``, if given) of the rows whose key
+    within their class is in ``stand``."""
+
+    def run(batches):
+        rows, keys = Bloom(bits, stand.value), wanted and Bloom(bits, wanted.value)
+        for batch in (b.slice(low, 2000) for b in batches for low in range(0, b.num_rows, 2000)):
+            column = batch.column(2)
+            own = batch.column(3).fill_null(0).to_numpy().view(np.uint64)
+            ok = column.is_valid().to_numpy(zero_copy_only=False) & rows.has(own)
+            at = np.repeat(np.arange(len(column)), column.value_lengths().fill_null(0).to_numpy())
+            key = column.flatten().to_numpy().view(np.uint64)
+            key, at = key[ok[at]], at[ok[at]]
+            if keys is not None:
+                hit = keys.has(key)
+                key, at = key[hit], at[hit]
+            took = [batch.column(i).take(pa.array(at)) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*took, pa.array(key.view(np.int64))], names=["nid", "n", "key"])
+
+    return run
+
+
+def _is_member(bloom, bits: int):
+    """Whether a hash is in the filter; other columns do not leave the JVM."""
+
+    @F.arrow_udf("boolean")
+    def known(hashes: pa.Array) -> pa.Array:
+        return pa.array(Bloom(bits, bloom.value).has(hashes.to_numpy().view(np.uint64)))
+
+    return known
+
+
 def _set_pass(size: int, bloom, bits: int):
     """The whole sets of the documents that stand for a candidate class."""
 
     def run(batches):
-        import pyarrow as pa
-
         known, seen = Bloom(bits, bloom.value), set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -190,8 +219,6 @@ def _confirm(percent: int):
     """Keep the pairs whose sets reach the similarity."""
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             linked = []
             for x, y in zip(_lists(batch.column("one")), _lists(batch.column("two"))):
@@ -225,9 +252,16 @@ def near_duplicates(
     classes = sketched.where("cls is not null").groupBy("cls").agg(low.alias("low"), F.first("n").alias("n"))
     classes = keep(classes.select("cls", "n", F.col("low.id").alias("low"), F.col("low.rid").alias("nid"), F.col("low.own").alias("own")), "classes")
 
-    # Buckets with two nodes or more, and their heads.
-    nodes = sketched.select(F.col("rid").alias("nid"), "n", "bands").join(classes.select("nid"), "nid", "left_semi")
-    placed = nodes.select("nid", "n", F.explode("bands").alias("key"))
+    # Buckets with two nodes or more, and their heads.  Most buckets have one
+    # node: filters of fixed size leave these out before rows are shuffled, and
+    # the few others that they let pass go by exact joins and counts.
+    nodes = sketched.select(F.col("rid").alias("nid"), "n", "bands", "own")
+    shape = "nid bigint, n bigint, key bigint"
+    stand = bloom_of(classes, "own", bloom_bits)
+    filled = nodes.mapInArrow(_key_pass(stand, None, bloom_bits), shape).groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    wanted = bloom_of(filled, "key", bloom_bits)
+    placed = nodes.mapInArrow(_key_pass(stand, wanted, bloom_bits), shape).join(classes.select("nid"), "nid", "left_semi")
+    placed = keep(placed, "placed")
     heads = placed.groupBy("key").agg(F.min("nid").alias("head"), F.max("nid").alias("tail"), F.count("*").alias("c"))
     heads = heads.where("c > 1").drop("c")
     members = keep(placed.join(heads, "key"), "buckets")
@@ -259,7 +293,18 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     sets = keep(sets.select("nid", "items"), "sets")
     sizes = classes.select("nid", "n")
 
-    def confirm(pairs: DataFrame) -> DataFrame:
+    def some(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The sets of ``nodes`` (nid), and a few others, without a join: a
+        join with few nodes would shuffle the sets of all."""
+        bloom = bloom_of(nodes.select(F.xxhash64("nid").alias("hash")), "hash", bloom_bits)
+        return sets.where(_is_member(bloom, bloom_bits)(F.xxhash64("nid")))
+
+    def confirm(pairs: DataFrame, all_nodes: bool = False) -> DataFrame:
+        pairs = keep(pairs, "pairs")
+        held = sets if all_nodes else keep(some(sets, pairs.select(F.col("a").alias("nid")).unionAll(pairs.select("b")).distinct()), "pair-sets")
+        return confirmed(pairs, held)
+
+    def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         found = pairs.join(sets.select(F.col("nid").alias("a"), F.col("items").alias("one")), "a")
         found = found.join(sets.select(F.col("nid").alias("b"), F.col("items").alias("two")), "b").select("a", "b", "one", "two")
         return keep(found.mapInArrow(_confirm(percent), "a bigint, b bigint").distinct(), "links")
@@ -271,7 +316,7 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     votes = members.where("nid <> head").groupBy("nid", "n", "head").agg(F.count("*").alias("votes")).join(head_n, "head")
     votes = keep(votes.where(alike("n", "head_n")), "votes")
     best = votes.groupBy("nid").agg(F.max(F.struct("votes", "head")).alias("best"))
-    links = confirm(best.select(F.col("best.head").alias("a"), F.col("nid").alias("b")))
+    links = confirm(best.select(F.col("best.head").alias("a"), F.col("nid").alias("b")), all_nodes=True)
     comps = components(links)
 
     def with_comp(df: DataFrame, node: str, comp: str) -> DataFrame:
@@ -309,13 +354,13 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     for _ in range(REFERENCES):
         if crowd.isEmpty():
             break
-        near = _near_reference(mixed, crowd, sets, percent)
+        near = _near_reference(mixed, crowd, some(sets, crowd), percent)
         to_reference = near.where(F.col("linked") & (F.col("nid") != F.col("ref"))).select(F.col("ref").alias("a"), F.col("nid").alias("b"))
         links = keep(links.unionAll(to_reference).unionAll(confirm(_reference_pairs(near, percent, alike))), "links")
         comps = components(links)
         members = keep(members.join(near.where("settled").select("nid"), "nid", "left_anti"), "open-buckets")
         mixed, crowd = apart_still(members)
-    items = sets.join(crowd, "nid").select("cluster", "nid", "n", "comp", F.explode("items").alias("item"))
+    items = some(sets, crowd).join(crowd, "nid").select("cluster", "nid", "n", "comp", F.explode("items").alias("item"))
     counts = keep(
         items.groupBy("cluster", "item").agg(F.count("*").alias("c"), F.min("nid").alias("nid")).where(F.col("c") <= RARE), "rare-counts"
     )
@@ -393,10 +438,13 @@ def _reference_pairs(near: DataFrame, percent: int, alike) -> DataFrame:
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one document of each group, with their own columns.  The
     ids that go (all of whose rows go) are written first, so their size is
-    known and texts are shuffled only where they are too many to broadcast."""
-    found = near_duplicates(docs, id_col=id_col, **options)
-    gone = found.groupBy(F.col(id_col).alias("_gone")).agg(F.max("kept").alias("stays")).where(~F.col("stays")).select("_gone")
-    gone = keep(gone, "near-duplicates")
+    known and texts are shuffled only where they are too many to broadcast;
+    sketches, sets and the like are dropped then."""
+    def ids_that_go() -> DataFrame:
+        found = near_duplicates(docs, id_col=id_col, **options)
+        return found.groupBy(F.col(id_col).alias("_gone")).agg(F.max("kept").alias("stays")).where(~F.col("stays")).select("_gone")
+
+    gone = keep_last(docs.sparkSession, ids_that_go, "near-duplicates")
     return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
 
 

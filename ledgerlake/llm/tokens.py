@@ -37,7 +37,7 @@ END_ID = 2
 #: the longest one it keeps (some 200 bytes each).
 MOST_PIECES, LONGEST_PIECE = 150_000, 64
 #: Bytes of text whose pieces are told apart at once, and pieces put together at once.
-SLICE, TOGETHER = 1 << 22, 1 << 19
+SLICE, TOGETHER = 1 << 22, 1 << 17
 
 
 # --- text to ids --------------------------------------------------------------

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import dedup_exact, graph, near_dedup, winnowing
+from ledgerlake.llm import common, dedup_exact, graph, near_dedup, winnowing
 
 
 def test_exact_groups_and_edge_rows(spark, docs):
@@ -220,3 +222,25 @@ def test_nodes_of_few_shared_buckets_are_not_compared(spark, monkeypatch):
     (few, small), (many, large) = rows_made(600), rows_made(1800)
     assert few > 150 and many > 900  # nodes that share a bucket with another component
     assert small <= 0.25 * 84 * few and large <= 0.25 * 84 * many, (few, small, many, large)
+
+
+def test_single_buckets_are_not_shuffled(spark, monkeypatch):
+    """Of the buckets, those of one text are left out by the filters, whoever repeats it."""
+    kept, real = [], near_dedup.keep
+    monkeypatch.setattr(near_dedup, "keep", lambda d, name: kept.append((name, real(d, name))) or kept[-1][1])
+    rows = [(i, " ".join(f"p{i // 2 if i < 4 else i}_{j}" for j in range(50))) for i in range(200)] + [(500, "w " * 9), (501, None)]
+    out = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), bloom_bits=16).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: {1: 0, 3: 2}.get(i, i) for i in [*range(200), 500, 501]}
+    assert dict((name, d.count()) for name, d in kept if name in ("placed", "buckets"))["placed"] < 0.2 * 52 * 199
+
+
+def test_deduplicated_drops_its_tables(spark, docs):
+    folder = os.path.join(common.shared_dir(spark).removeprefix("file:"), "llm")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = near_dedup.deduplicated(docs, size=2)
+    assert [p.split("-")[:2] for p in set(os.listdir(folder)) - before] == [["near", "duplicates"]]
+    assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "2", "3", "3", "5"]
+    left = set(os.listdir(folder))
+    with pytest.raises(ZeroDivisionError):
+        common.keep_last(spark, lambda: common.keep(docs, "part") and 1 / 0, "whole")
+    assert set(os.listdir(folder)) == left and common.keep(docs, "after").count() == 7
