@@ -329,8 +329,8 @@ def bloom_of(keys: DataFrame, column: str, bits: int):
         .mapInArrow(place, "word bigint, mask bigint")
         .groupBy("word")
         .agg(F.bit_or("mask").alias("mask"))
-        .toPandas()
+        .toArrow()  # without an object for each row, as the driver's memory is small
     )
     filled = Bloom(bits)
-    filled.words[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    filled.words[rows["word"].to_numpy()] = rows["mask"].to_numpy().view(np.uint64)
     return spark.sparkContext.broadcast(filled.words)

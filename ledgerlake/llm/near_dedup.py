@@ -296,8 +296,9 @@ def _linked(docs, classes, members, size, percent, id_col, text_col, shared, blo
     def some(sets: DataFrame, nodes: DataFrame) -> DataFrame:
         """The sets of ``nodes`` (nid), and a few others, without a join: a
         join with few nodes would shuffle the sets of all."""
-        bloom = bloom_of(nodes.select(F.xxhash64("nid").alias("hash")), "hash", bloom_bits)
-        return sets.where(_is_member(bloom, bloom_bits)(F.xxhash64("nid")))
+        bits = max(6, bloom_bits - 4)  # these are far fewer than all nodes
+        bloom = bloom_of(nodes.select(F.xxhash64("nid").alias("hash")), "hash", bits)
+        return sets.where(_is_member(bloom, bits)(F.xxhash64("nid")))
 
     def confirm(pairs: DataFrame, all_nodes: bool = False) -> DataFrame:
         pairs = keep(pairs, "pairs")
