@@ -22,6 +22,8 @@ pair whose documents are already connected is never built:
 4. all pairs of a bucket that are in different components yet: members outside
    the bucket's largest component against the others.
 
+A node of fewer than ``SHARED`` buckets with several components is in no pair
+of the last round and left out of it.
 The last round would meet every outlier of a large group with the whole group.
 Two exact steps avoid that in clusters (nodes connected by buckets) of more
 than ``2 * RARE`` nodes.
