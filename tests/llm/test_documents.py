@@ -207,6 +207,43 @@ def test_pieces_of_many_rows_are_looked_up_once(tmp_path):
     assert len(met) <= 40, len(met)
 
 
+def test_new_words_of_a_slice_go_to_the_model_at_once():
+    """Words not met before cost one call of the model each, not a look-up and a turn of the encoder each."""
+    own, met = tokens.Encoder(tokens.default_tokenizer()), []
+    own.encode_piece = own.pieces.make = lambda piece, real=own.encode_piece: met.append(piece) or real(piece)
+    random.seed(5)
+    words = list(dict.fromkeys("".join(random.choices("abcdefghijklmÄößéɏ", k=9)) for _ in range(2000)))
+    text = " ".join(words) + " 5. ×÷ É,"
+    assert _ids_of_rows(own, [text]) == [[*own.tokenizer.encode(text, add_special_tokens=False).ids, 2]]
+    assert len(met) <= 10, len(met)
+
+
+def test_known_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_KNOWN", 30)
+    own = tokens.Encoder(tokens.default_tokenizer())
+    random.seed(6)
+    words = ["".join(random.choices("abcÉ1.", k=4)) for _ in range(200)]
+    for i in range(60):
+        text = " ".join(["often", *random.choices(words, k=15), "x" * 100, "y" * 70 + "!"])
+        assert _ids_of_rows(own, [text]) == [[*own.tokenizer.encode(text, add_special_tokens=False).ids, 2]], text
+        held = own.known.pieces.to_pylist()
+        assert len(held) == len(set(held)) == len(own.known.size) <= 30 and own.known.size.sum() == len(own.known.ids)
+        assert i < 3 or b" often" in held or text.startswith("often")
+    assert max(map(len, held)) <= tokens.LONGEST_PIECE
+
+
+def test_added_tokens_in_rows():
+    """A special token spelled out in a text is one token, as the library reads it; not across two texts."""
+    own = tokens.Encoder(tokens.default_tokenizer())
+    end = "<|endoftext|>"
+    texts = [end, f"a{end}", f"a{end}. b", f"x {end} y", f"x\n{end}\n{end}{end}", f"word,{end}, {end[:-1]}", end[:5], end[5:], f"é{end}|>", f"{end} {end}\n"]
+    random.seed(7)
+    parts = [end, end[:-2], "|>", "<|", " ", "\n", "  ", "a", "Wörd", ".", ","]
+    texts += ["".join(random.choices(parts, k=random.randint(1, 8))) for _ in range(2000)]
+    for t, ids in zip(texts, _ids_of_rows(own, texts), strict=True):
+        assert ids == [*own.tokenizer.encode(t, add_special_tokens=False).ids, 2], repr(t)
+
+
 def test_token_files(spark, duck, docs):
     from tokenizers import Tokenizer
 
